@@ -7,8 +7,8 @@ STOP_WORDS = (
     "der", "die", "das", "und", "el", "los", "las", "y",
 )
 
-SEARCH_QUERY = "Thionre inganea, réaux the stion"
-SEARCH_TERMS = ("inganea", "reaux", "stion", "thionre")
+SEARCH_QUERY = "Lytion shst, réaux the ouen"
+SEARCH_TERMS = ("lytion", "ouen", "reaux", "shst")
 
 # Keyword rules that hit the invented words of the test corpora.
 CORPUS_RULES = {

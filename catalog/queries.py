@@ -192,9 +192,11 @@ def search_bm25_index(spark, sf):
 @query
 def search_bm25_stemmed(spark, sf):
     docs = views.doc_fact(spark, sf)
-    index = search.build_index(docs, params.STOP_WORDS, stems=True)
+    path = shared_path(spark, "index")
+    search.write_index(search.build_index(docs, params.STOP_WORDS, stems=True), path)
     found = search.search_index(
-        index, docs, params.SEARCH_QUERY, limit=50, stop_words=params.STOP_WORDS, stems=True
+        search.read_index(spark, path), docs, params.SEARCH_QUERY, limit=50,
+        stop_words=params.STOP_WORDS, stems=True,
     )
     return _rounded(found, "score")
 
@@ -208,7 +210,7 @@ def count_bm25(spark, sf):
 
 @query
 def tokenize(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     found = tokens(F.col("text"), params.STOP_WORDS)
     return docs.select("doc_id", found.alias("t")).select(
         "doc_id", F.size("t").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("digest")
@@ -260,7 +262,7 @@ def resume_skip(spark, sf):
 
 @query
 def clean_whitespace(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     spaced = F.concat(F.lit(" \t"), F.replace("text", F.lit(" "), F.lit(" \r\n ")), F.lit("\n"))
     return docs.select("doc_id", F.md5(tx.clean_whitespace(spaced)).alias("digest"))
 
@@ -277,7 +279,7 @@ def model_family(spark, sf):
 
 @query
 def topic_keywords(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     return docs.select(
         "doc_id",
         keyword_topic(F.col("text")).alias("topic"),
@@ -319,27 +321,27 @@ def _some_id() -> str:
 
 @query
 def top_categories(spark, sf):
-    return freq.top_categories(freq.normalize_annotations(views.annotation_rows(spark, sf)))
+    return freq.top_categories(views.annotation_rows(spark, sf))
 
 
 @query
 def top_languages(spark, sf):
-    return freq.top_languages(freq.normalize_annotations(views.annotation_rows(spark, sf)))
+    return freq.top_languages(views.annotation_rows(spark, sf))
 
 
 @query
 def top_errors(spark, sf):
-    return freq.top_errors(freq.normalize_annotations(views.annotation_rows(spark, sf)))
+    return freq.top_errors(views.annotation_rows(spark, sf))
 
 
 @query
 def freq_report(spark, sf):
-    return freq.freq_report(freq.normalize_annotations(views.annotation_rows(spark, sf)))
+    return freq.freq_report(views.annotation_rows(spark, sf))
 
 
 @query
 def title_case(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     return docs.select("doc_id", F.md5(tx.title_case(F.col("text"))).alias("digest"))
 
 
@@ -361,7 +363,7 @@ def length_describe(spark, sf):
 
 @query
 def avg_words_by_topic(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     return _rounded(lengths.avg_words_by_topic(docs, "source", "text"), "avg_words")
 
 
@@ -450,14 +452,14 @@ def cluster_labels(spark, sf):
 
 @query
 def clean_label(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     answer = F.concat(F.lit(' "Label: '), "text", F.lit("'\nBecause it is so."))
     return docs.select("doc_id", F.md5(tx.clean_label(answer)).alias("digest"))
 
 
 @query
 def ngram_counts(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     return topics.ngram_counts(docs, "text", stop_words=params.STOP_WORDS)
 
 
@@ -536,16 +538,14 @@ def extract_json(spark, sf):
 @query
 def trim_middle(spark, sf):
     trimmed = tx.trim_middle(F.col("text"))
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     return docs.select("doc_id", F.length(trimmed).alias("n"), F.md5(trimmed).alias("digest"))
 
 
 @query
 def parse_annotation(spark, sf):
     rows = views.answers(spark, sf)
-    return rows.select(
-        "event_id", *[c.alias(n) for n, c in annotate.parse_answer(F.col("answer")).items()]
-    )
+    return annotate.parse_answers(rows).select("event_id", "category", "language", "error")
 
 
 @query

@@ -14,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts. A small test file is a single row group and thus a single task, so on one
+    machine its rows are first spread over the cores; a cluster reads the files as they are."""
+    docs = table(spark, sf_dir, "documents")
+    context = spark.sparkContext
+    return docs.repartition(context.defaultParallelism) if context.master.startswith("local") else docs
+
+
 def _hash(c: Column) -> Column:
     return F.md5(c.cast("string"))
 
@@ -95,7 +103,7 @@ def with_country(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame
 def doc_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One conversation per document, with the document as its text."""
     k = F.col("doc_id")
-    rows = table(spark, sf_dir, "documents").select(
+    rows = documents(spark, sf_dir).select(
         k.alias("key"),
         _hash(k).alias("id"),
         _choose(k % 9, MODELS).alias("model"),
@@ -155,7 +163,7 @@ def raw_from(documents: DataFrame) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_from(table(spark, sf_dir, "documents"))
+    return raw_from(documents(spark, sf_dir))
 
 
 def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +174,7 @@ def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clustered_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the label of their embedding as cluster, -1 without one."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     labels = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
     return docs.join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("id"),
@@ -217,7 +225,7 @@ def fenced_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(F.concat("text", newline, F.lit("{}")))
     )
-    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return documents(spark, sf_dir).select("doc_id", text.alias("text"))
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:

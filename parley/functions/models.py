@@ -46,18 +46,23 @@ REST_BUCKET = "gpt-4"
 def with_model_family(df: DataFrame, model: str = "model", models=MODELS) -> DataFrame:
     """Add ``model_family`` and ``model_release_date``; unknown models get ('other', NULL).
 
-    The lookup table is the constant above, an inline relation of a few dozen rows, so
-    broadcasting it is safe at any corpus size.
+    The few dozen entries are a literal map, so this is a projection: no join, usable on streams,
+    and gone from the plan when neither column is used.
     """
-    rows = ", ".join(f"('{name}', '{family}', date'{released}')" for name, family, released in models)
-    lookup = df.sparkSession.sql(
-        f"SELECT * FROM VALUES {rows} AS m(`{model}`, model_family, model_release_date)"
-    )
-    return df.join(F.broadcast(lookup), model, "left").withColumn(
-        "model_family", F.coalesce("model_family", F.lit(OTHER_FAMILY))
+    name = F.col(model)
+    return df.withColumns(
+        {
+            "model_family": F.coalesce(_lookup(name, {m: f for m, f, _ in models}), F.lit(OTHER_FAMILY)),
+            "model_release_date": _lookup(name, {m: d for m, _, d in models}).cast("date"),
+        }
     )
 
 
+def _lookup(name: Column, entries: dict[str, str]) -> Column:
+    pairs = [F.lit(x) for entry in entries.items() for x in entry]
+    return F.try_element_at(F.create_map(*pairs), name)
+
+
 def model_bucket(c: Column) -> Column:
     """One of four buckets by ordered substring tests; NULL and unknown names are gpt-4."""
     bucket = F.lit(REST_BUCKET)

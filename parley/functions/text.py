@@ -50,9 +50,8 @@ def short_id(c: Column, length: int = 8) -> Column:
     return F.substring(c, 1, length)
 
 
-def style_features(c: Column) -> dict[str, Column]:
-    """Five features of one text; ratios are 0 where there are no words."""
-    w = words(c)
+def style_features(c: Column, w: Column) -> dict[str, Column]:
+    """Five features of a text with words ``w``; ratios are 0 where there are no words."""
     n = F.size(w)
     return {
         "word_count": n,

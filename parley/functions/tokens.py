@@ -38,13 +38,19 @@ def normalize(c: Column) -> Column:
     return F.when(ascii_only, lowered).otherwise(F.translate(lowered, ACCENTED, PLAIN))
 
 
+def split_tokens(c: Column) -> Column:
+    """Runs of a-z in order, stop words included; the ends may give ''."""
+    return F.split(normalize(c), "[^a-z]+")
+
+
+def is_token(t: Column, stop_words: Iterable[str] = ()) -> Column:
+    stop = [w for w in stop_words if w.isalpha()]
+    return (t != "") & ~t.isin(stop) if stop else t != ""
+
+
 def tokens(c: Column, stop_words: Iterable[str] = ()) -> Column:
     """Array of the search terms of a text, in order."""
-    stop = [w for w in stop_words if w.isalpha()]
-    found = F.split(normalize(c), "[^a-z]+")
-    if stop:
-        return F.filter(found, lambda t: (t != "") & ~t.isin(stop))
-    return F.filter(found, lambda t: t != "")
+    return F.filter(split_tokens(c), lambda t: is_token(t, stop_words))
 
 
 def query_terms(query: str, stop_words: Iterable[str] = ()) -> list[str]:

@@ -95,34 +95,35 @@ def external_answers(
     return prompts.select("id", "prompt").mapInPandas(run, "id string, prompt string, answer string")
 
 
-def parse_answer(answer: Column) -> dict[str, Column]:
-    """Category, language and error of a JSON answer, fenced or not.
+def parse_answers(answers: DataFrame, answer: str = "answer") -> DataFrame:
+    """Adds category, language and error of a JSON answer, fenced or not.
 
     No JSON object: ('Error', 'None', 'None'). A missing key gives that key's default, a key with
     null stays NULL.
     """
-    bare = F.regexp_replace(strip_space(answer), "```(?:json)?", "")
-    value = F.try_parse_json(bare)
-    keys = F.json_object_keys(bare)
-    readable = value.isNotNull() & keys.isNotNull()
+    bare = F.regexp_replace(strip_space(F.col(answer)), "```(?:json)?", "")
+    parsed = answers.withColumn("_bare", bare).withColumns(
+        {"_value": F.try_parse_json("_bare"), "_keys": F.json_object_keys("_bare")}
+    )
+    readable = F.col("_value").isNotNull() & F.col("_keys").isNotNull()
 
     def field(key: str, default: str, unreadable: str) -> Column:
         found = F.when(
-            F.array_contains(keys, key), F.try_variant_get(value, f"$.{key}", "string")
+            F.array_contains("_keys", key), F.try_variant_get("_value", f"$.{key}", "string")
         ).otherwise(F.lit(default))
-        return F.when(F.coalesce(readable, F.lit(False)), found).otherwise(F.lit(unreadable))
+        return F.when(readable, found).otherwise(F.lit(unreadable))
 
-    return {
-        "category": field("cat", NO_CATEGORY, UNREADABLE),
-        "language": field("lang", NO_VALUE, NO_VALUE),
-        "error": field("err", NO_VALUE, NO_VALUE),
-    }
+    return parsed.withColumns(
+        {
+            "category": field("cat", NO_CATEGORY, UNREADABLE),
+            "language": field("lang", NO_VALUE, NO_VALUE),
+            "error": field("err", NO_VALUE, NO_VALUE),
+        }
+    ).drop("_bare", "_value", "_keys")
 
 
 def annotations(answers: DataFrame) -> DataFrame:
     """``(prompt_preview, category, language, error)`` from ``(prompt, answer)``."""
-    fields = parse_answer(F.col("answer"))
-    return answers.select(
-        F.substring("prompt", 1, PREVIEW).alias("prompt_preview"),
-        *[column.alias(name) for name, column in fields.items()],
+    return parse_answers(answers).select(
+        F.substring("prompt", 1, PREVIEW).alias("prompt_preview"), "category", "language", "error"
     )

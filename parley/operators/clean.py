@@ -24,6 +24,11 @@ def user_texts(conversation: Column) -> Column:
     return F.transform(from_user, lambda t: clean_whitespace(t["content"]))
 
 
+def has_user_text(conversation: Column) -> Column:
+    """Whether ``user_texts`` finds anything, without building the texts."""
+    return F.exists(conversation, lambda t: (t["role"] == "user") & (t["content"] != ""))
+
+
 def estimated_tokens(conversation: Column) -> Column:
     """A quarter of the characters of all turns, truncated."""
     chars = F.aggregate(
@@ -47,9 +52,8 @@ def clean_records(
     """Records of one language that have user text, as fact rows. Works on streams too."""
     texts = F.col("_texts")
     kept = (
-        raw.filter(F.col("language") == language)
+        raw.filter((F.col("language") == language) & has_user_text(F.col("conversation")))
         .withColumn("_texts", user_texts(F.col("conversation")))
-        .filter(F.size(texts) > 0)
         .withColumn("search_text", F.array_join(texts, " "))
         .withColumn("timestamp", parse_timestamp(F.col("timestamp")))
     )

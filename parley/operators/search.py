@@ -1,8 +1,8 @@
 """Ranked full-text search with BM25 (Robertson and Zaragoza, 2009).
 
-Two ways to the same scores. ``search`` reads the texts themselves: right for a one-off question,
-map-only but for one row of corpus statistics. ``build_index`` writes out term lists once;
-``search_index`` then reads only the rows of the query's terms.
+Two ways to the same scores. ``search`` reads the texts themselves, once: right for a one-off
+question. ``write_index`` writes out term lists; ``search_index`` then reads only the rows of the
+query's terms.
 """
 
 from __future__ import annotations
@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from parley.functions.filters import build_filters
 from parley.functions.stem import porter_stem, stem_term
 from parley.functions.text import snippet
-from parley.functions.tokens import normalize, query_terms, tokens
+from parley.functions.tokens import is_token, normalize, query_terms, split_tokens, tokens
 
 K1 = 1.2
 B = 0.75
 SNIPPET = 200
+# Scores are rounded so that equal documents tie whatever the order of summation.
+SCORE_DIGITS = 9
 
 
 def _idf(n_docs: Column, doc_freq: Column) -> Column:
@@ -54,48 +56,38 @@ def search(
 ) -> DataFrame:
     """Best matches for any of the query's terms among the rows that pass the filters.
 
-    Corpus statistics cover the whole table; the filters apply to the scored rows only.
+    Corpus statistics cover the whole table; the filters apply to the scored rows only. The texts
+    are read once: words are counted per row before anything moves, and both the statistics and
+    the scores read the resulting one short row per conversation.
     """
     terms = query_terms(query, stop_words)
-    keep = build_filters(models=[model] if model else None, topic=topic, min_turns=min_turns)
     columns = ["id", "model_family", "topic", "turn_count"]
     text = F.col("search_text")
-
-    def tf(i: int) -> Column:
-        return F.size(F.filter("_hits", lambda t: t == terms[i]))
-
-    def with_hits(df: DataFrame) -> DataFrame:
-        return (
-            df.withColumn("_tokens", tokens(text, stop_words))
-            .withColumn("_hits", F.filter("_tokens", lambda t: t.isin(terms)))
-            .withColumn("_length", F.size("_tokens"))
-            .drop("_tokens")
-        )
-
-    if not terms:
-        empty = fact.filter(F.lit(False)).select(*columns, F.lit(0.0).alias("score"))
-        return empty.withColumn("snippet", F.lit(""))
-
-    stats = (
-        with_hits(fact.select("search_text"))
-        .filter(F.col("_length") > 0)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.avg("_length").alias("_mean"),
-            *[F.count_if(tf(i) > 0).alias(f"_df{i}") for i in range(len(terms))],
-        )
+    # The preview travels only with rows that may match.
+    preview = F.when(_may_contain(text, terms), snippet(text, SNIPPET))
+    words = fact.select(
+        *columns, preview.alias("snippet"), F.explode(split_tokens(text)).alias("term")
+    ).filter(is_token(F.col("term"), stop_words))
+    counted = [F.count_if(F.col("term") == t).alias(f"_tf{i}") for i, t in enumerate(terms)]
+    per_doc = words.groupBy(*columns, "snippet").agg(F.count(F.lit(1)).alias("_length"), *counted)
+    stats = per_doc.agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.avg("_length").alias("_mean"),
+        *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"_df{i}") for i in range(len(terms))],
     )
-    candidates = fact.filter(keep).filter(_may_contain(text, terms))
-    score = F.lit(0.0)
+    score, found = F.lit(0.0), F.lit(False)
     for i in range(len(terms)):
+        tf = F.col(f"_tf{i}")
+        found = found | (tf > 0)
         score = score + _idf(F.col("_n"), F.col(f"_df{i}")) * _saturation(
-            tf(i), F.col("_length"), F.col("_mean")
+            tf, F.col("_length"), F.col("_mean")
         )
+    keep = build_filters(models=[model] if model else None, topic=topic, min_turns=min_turns)
     return (
-        with_hits(candidates.select(*columns, "search_text"))
-        .filter(F.size("_hits") > 0)
+        per_doc.filter(found)
         .crossJoin(F.broadcast(stats))  # one row
-        .select(*columns, score.alias("score"), snippet(text, SNIPPET).alias("snippet"))
+        .filter(keep)
+        .select(*columns, F.round(score, SCORE_DIGITS).alias("score"), "snippet")
         .orderBy(F.desc("score"), "id")
         .limit(limit)
     )
@@ -152,8 +144,11 @@ def count_matches(
 
 @dataclass
 class Index:
-    """``postings`` (term, id, length, tf), ``terms`` (term, stem, doc_freq), ``docs``
-    (id, length, snippet) and the one-row ``stats`` (n_docs, mean_length)."""
+    """``postings`` (term, id, length, tf, first), ``terms`` (term, doc_freq, stem), ``docs``
+    (id, snippet) and the one-row ``stats`` (n_docs, mean_length).
+
+    ``first`` is the position of a term's first occurrence in its document.
+    """
 
     postings: DataFrame
     terms: DataFrame
@@ -178,25 +173,27 @@ def build_index(
     resolved when a query is asked, which keeps the large table free of a join on its most
     frequent terms.
     """
-    docs = fact.select(
-        "id",
-        tokens(F.col("search_text"), stop_words).alias("tokens"),
-        snippet(F.col("search_text"), snippet_chars).alias("snippet"),
-    ).withColumn("length", F.size("tokens"))
+    docs = fact.select("id", tokens(F.col("search_text"), stop_words).alias("tokens"))
     postings = (
-        docs.select("id", "length", F.explode("tokens").alias("term"))
+        docs.select("id", F.size("tokens").alias("length"), F.posexplode("tokens").alias("at", "term"))
         .groupBy("term", "id", "length")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        .agg(F.count(F.lit(1)).alias("tf"), F.min("at").alias("first"))
     )
+    previews = fact.select("id", snippet(F.col("search_text"), snippet_chars).alias("snippet"))
+    return _derived(postings, previews, stems)
+
+
+def _derived(postings: DataFrame, docs: DataFrame, stems: bool) -> Index:
+    """Vocabulary and statistics follow from the postings: every document that has a token has
+    exactly one term at position 0."""
     terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-    terms = terms.withColumn("stem", stem_term("term") if stems else F.col("term"))
-    lengths = docs.filter(F.col("length") > 0)
+    n_docs = F.count_if(F.col("first") == 0)
     return Index(
         postings=postings,
-        terms=terms,
-        docs=lengths.select("id", "length", "snippet"),
-        stats=lengths.agg(
-            F.count(F.lit(1)).alias("n_docs"), F.avg("length").alias("mean_length")
+        terms=terms.withColumn("stem", stem_term("term") if stems else F.col("term")),
+        docs=docs,
+        stats=postings.agg(
+            n_docs.alias("n_docs"), F.try_divide(F.sum("tf"), n_docs).alias("mean_length")
         ),
         stems=stems,
     )
@@ -206,19 +203,17 @@ def write_index(index: Index, path: str) -> None:
     """Write (or replace) the index, postings and vocabulary sorted by term.
 
     Ranges are cut by (term, id), so one frequent term spreads over several files; readers skip
-    the row groups without the wanted terms.
+    the row groups without the wanted terms. Everything but the postings and the previews is
+    computed from the written postings, so the texts are tokenized once.
     """
+    spark = index.postings.sparkSession
     postings = index.postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id")
     postings.write.mode("overwrite").parquet(f"{path}/postings")
-    written = index.postings.sparkSession.read.parquet(f"{path}/postings")
-    # Frequencies come from the written postings, not from a second pass over the texts.
-    terms = written.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-    terms = terms.withColumn("stem", stem_term("term") if index.stems else F.col("term"))
-    terms.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(
-        f"{path}/terms"
-    )
-    index.docs.write.mode("overwrite").parquet(f"{path}/docs")
-    index.stats.write.mode("overwrite").parquet(f"{path}/stats")
+    written = _derived(spark.read.parquet(f"{path}/postings"), index.docs, index.stems)
+    terms = written.terms.repartitionByRange("term").sortWithinPartitions("term")
+    terms.write.mode("overwrite").parquet(f"{path}/terms")
+    written.docs.write.mode("overwrite").parquet(f"{path}/docs")
+    written.stats.write.mode("overwrite").parquet(f"{path}/stats")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
@@ -244,7 +239,7 @@ def index_scores(
             * _saturation(F.col("tf"), F.col("length"), F.col("mean_length")),
         )
         .groupBy("id")
-        .agg(F.sum("part").alias("score"))
+        .agg(F.round(F.sum("part"), SCORE_DIGITS).alias("score"))
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.models import model_bucket
-from parley.functions.text import style_features
+from parley.functions.text import style_features, words
 from parley.functions.topn import first_n
 from parley.operators.clean import first_user_message
 
@@ -36,7 +36,9 @@ def stratified_first_n(
 
 
 def with_style(messages: DataFrame, text: str = "text") -> DataFrame:
-    return messages.withColumns(style_features(F.col(text)))
+    """Adds the features; the words are a column of their own so they are split once."""
+    split = messages.withColumn("_words", words(F.col(text)))
+    return split.withColumns(style_features(F.col(text), F.col("_words"))).drop("_words")
 
 
 def style_by_model(styled: DataFrame) -> DataFrame:

@@ -259,36 +259,38 @@ def ngram_counts(
 ) -> DataFrame:
     """Counts and document frequencies of words and word pairs.
 
-    Each document marks the first of equal terms, so one aggregation with map-side combine gives
-    both numbers.
+    The terms of a document are sorted and each is set beside its predecessor, so the first of
+    equal terms is known and one aggregation with map-side combine gives both numbers.
     """
-    spread = (
-        docs.select(_terms(F.col(text), pattern, list(stop_words)).alias("_w"))
-        .select(F.sort_array(F.concat("_w", _pairs("_w"))).alias("_t"))
-        .select(
-            F.explode(
-                F.transform(
-                    "_t",
-                    lambda t, i: F.struct(
-                        t.alias("term"),
-                        ((i == 0) | (F.get("_t", i - 1) != t)).alias("first"),
-                    ),
-                )
-            ).alias("e")
-        )
+    terms = docs.select(_terms(F.col(text), pattern, list(stop_words)).alias("_w")).select(
+        F.sort_array(F.concat("_w", _pairs("_w"))).alias("_t")
+    )
+    predecessors = F.concat(F.array(F.lit(None).cast("string")), F.slice("_t", 1, _all_but_one("_t")))
+    beside = terms.filter(F.size("_t") > 0).select(
+        F.inline(F.arrays_zip(F.col("_t").alias("term"), predecessors.alias("previous")))
     )
     return (
-        spread.groupBy(F.col("e.term").alias("term"))
-        .agg(F.count(F.lit(1)).alias("count"), F.count_if(F.col("e.first")).alias("doc_freq"))
+        beside.groupBy("term")
+        .agg(
+            F.count(F.lit(1)).alias("count"),
+            F.count_if(~F.col("term").eqNullSafe(F.col("previous"))).alias("doc_freq"),
+        )
         .filter(F.col("doc_freq") >= min_df)
     )
 
 
+def _all_but_one(array: str) -> Column:
+    return F.greatest(F.size(array) - 1, F.lit(0))
+
+
 def _pairs(words: str) -> Column:
     """Neighbouring words joined by a space."""
-    following = F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1)))
-    joined = F.zip_with(words, following, lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.filter(joined, lambda p: p.isNotNull())
+    n = _all_but_one(words)
+    return F.zip_with(
+        F.slice(words, F.lit(1), n),
+        F.slice(words, F.lit(2), n),
+        lambda a, b: F.concat(a, F.lit(" "), b),
+    )
 
 
 def merge_small_topics(
@@ -330,10 +332,11 @@ def topic_terms(
         .groupBy("topic_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    over_topics = counts.groupBy("term").agg(
-        F.sum("tf").alias("f"), F.count(F.lit(1)).alias("topics")
-    )
-    kept = counts.join(over_topics.filter(F.col("topics") >= min_topics), "term")
+    # One row per topic and term here, so a term has at most as many rows as there are topics.
+    same_term = Window.partitionBy("term")
+    kept = counts.withColumns(
+        {"f": F.sum("tf").over(same_term), "topics": F.count(F.lit(1)).over(same_term)}
+    ).filter(F.col("topics") >= min_topics)
     sizes = kept.groupBy("topic_id").agg(F.sum("tf").alias("size"))
     mean_size = sizes.agg(F.floor(F.avg("size")).alias("a"))
     weight = F.col("tf") / F.col("size") * F.log(1 + F.col("a") / F.col("f"))
