@@ -277,10 +277,10 @@ over_topics as (select term, sum(tf) as f from tf group by term having count(*)
 kept as (select topic_id, term, tf, f from tf join over_topics using (term)),
 totals as (select topic_id, sum(tf) as size from kept group by 1),
 mean as (select floor(avg(size)) as a from totals),
-weighted as (select topic_id, term, round(tf / size * ln(1 + a / f), 12) as weight
+weighted as (select topic_id, term, tf * ln(1 + a / f) as score, score / size as weight
   from kept join totals using (topic_id), mean),
-terms as (select * from (select *, row_number() over (partition by topic_id order by weight desc, term)
-  as position from weighted) where position <= 10)"""
+terms as (select * exclude (score) from (select *, row_number() over (partition by topic_id
+  order by score desc, term) as position from weighted) where position <= 10)"""
 
 
 FENCED = r"""
@@ -432,8 +432,9 @@ where topic <> 'General / Noise' and model_family = 'gpt-4o' and id in (select i
 select doc_id, len(t) as n_tokens, md5(array_to_string(t, ' ')) as digest from tokens""",
     "build_index": f"with {TOKENS} select term, id, length, tf from postings",
     "index_terms": f"""with {TOKENS}
-select term, count(*) as doc_freq, any_value(n) as n_docs, round(any_value(mean_length), 6) as mean_length
-from postings, stats group by term""",
+select term, count(*) as doc_freq from postings group by term""",
+    "index_stats": f"""with {TOKENS}
+select n as n_docs, round(mean_length, 6) as mean_length from stats""",
     "clean_records": CLEAN_RESULT,
     "stream_ingest": CLEAN_RESULT,
     "resume_skip": f"""with {DOC_FACT}

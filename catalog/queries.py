@@ -226,8 +226,13 @@ def build_index(spark, sf):
 @query
 def index_terms(spark, sf):
     index = search.build_index(views.doc_fact(spark, sf), params.STOP_WORDS)
-    terms = index.terms.select("term", "doc_freq").crossJoin(F.broadcast(index.stats))
-    return _rounded(terms, "mean_length")
+    return index.terms.select("term", "doc_freq")
+
+
+@query
+def index_stats(spark, sf):
+    index = search.build_index(views.doc_fact(spark, sf), params.STOP_WORDS)
+    return _rounded(index.stats, "mean_length")
 
 
 # ---- cleaning ----

@@ -8,11 +8,12 @@ buckets of bounded relative width, and only the buckets that hold a wanted rank
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.functions.small import null_safe
+
 BUCKET_BITS = 12
 
 
@@ -59,11 +60,7 @@ def exact_quantiles(
     )
     opened = bucketed.alias("v").join(
         hits.alias("h"),
-        reduce(
-            lambda x, y: x & y,
-            [F.col(f"v.{c}").eqNullSafe(F.col(f"h.{c}")) for c in by],
-            F.col("v._bucket") == F.col("h._bucket"),
-        ),
+        null_safe("v", "h", by) & (F.col("v._bucket") == F.col("h._bucket")),
     ).select(*[f"h.{c}" for c in by], "h._bucket", "prob", "_pos", "_before", "_value", "_weight")
     inside = Window.partitionBy(*by, "prob", "_bucket").orderBy("_value")
     ranked = opened.withColumn("_rank", F.col("_before") + F.sum("_weight").over(inside))

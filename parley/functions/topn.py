@@ -4,33 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.functions.small import bounded, null_safe
+
 SALTS = 64
 
 
-def first_n(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[Column],
-    n: int,
-    slice_on: Sequence[str],
-    salts: int = SALTS,
-) -> DataFrame:
-    """The first ``n`` rows of each group in the given total order.
+def first_n(df: DataFrame, by: Sequence[str], order: str, n: int, salts: int = SALTS) -> DataFrame:
+    """The first ``n`` rows of each group by a column that is unique and never NULL.
 
-    A row among the first n of its group is among the first n of any slice of it, so each group
-    is cut in ``salts`` slices by the ``slice_on`` columns and these are ranked apart; the second
-    ranking sees at most ``n * salts`` rows of a group.
+    Only keys are ranked and moved: each group is cut in ``salts`` slices, as a row among the
+    first n of its group is among the first n of any slice of it, and the second ranking sees at
+    most ``n * salts`` keys of a group. What comes out is the last key wanted per group; the rows
+    themselves are then kept or dropped where they are.
     """
-    sliced = Window.partitionBy(*by, "_salt").orderBy(*order)
-    whole = Window.partitionBy(*by).orderBy(*order)
-    return (
-        df.withColumn("_salt", F.pmod(F.xxhash64(*slice_on), F.lit(salts)))
+    by = list(by)
+    sliced = Window.partitionBy(*by, "_salt").orderBy(order)
+    whole = Window.partitionBy(*by).orderBy(order)
+    last = (
+        df.select(*by, order)
+        .withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(salts)))
         .withColumn("_rank", F.row_number().over(sliced))
         .filter(F.col("_rank") <= n)
         .withColumn("_rank", F.row_number().over(whole))
         .filter(F.col("_rank") <= n)
-        .drop("_salt", "_rank")
+        .groupBy(*by)
+        .agg(F.max(order).alias("_last"))
+    )
+    return (
+        df.alias("r")
+        .join(bounded(last).alias("l"), null_safe("r", "l", by))
+        .filter(F.col(f"r.{order}") <= F.col("l._last"))
+        .select("r.*")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.filters import build_filters
+from parley.functions.small import member_of
 from parley.functions.text import snippet
 
 KINDS = ("length_outlier", "rare_topic")
@@ -36,10 +37,12 @@ def rare_topics(
     fact: DataFrame, model: str | None = None, below: int = 50, limit: int = 10
 ) -> DataFrame:
     """Conversations of topics with fewer than ``below`` rows in the whole table."""
-    rare = fact.groupBy("topic").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < below)
+    counts = fact.groupBy("topic").agg(F.count(F.lit(1)).alias("_n"))
+    rare = counts.filter(F.col("_n") < below).select("topic")
     rows = fact.filter(build_filters(models=[model] if model else None, exclude_noise=False))
     return (
-        rows.join(rare, "topic", "left_semi")
+        member_of(rows, "topic", rare)
+        .filter("_member")
         .select("id", "model_family", "topic", snippet(F.col("search_text"), 100).alias("snippet"))
         .orderBy("id")
         .limit(limit)

@@ -65,9 +65,12 @@ def search(
     text = F.col("search_text")
     # The preview travels only with rows that may match.
     preview = F.when(_may_contain(text, terms), snippet(text, SNIPPET))
-    words = fact.select(
-        *columns, preview.alias("snippet"), F.explode(split_tokens(text)).alias("term")
-    ).filter(is_token(F.col("term"), stop_words))
+    # A projection of its own, as what stands beside an explode is evaluated per exploded row. The
+    # outer form, as the inner one adds a test for empty arrays that splits every text once more.
+    rows = fact.select(*columns, preview.alias("snippet"), split_tokens(text).alias("_tokens"))
+    words = rows.select(*columns, "snippet", F.explode_outer("_tokens").alias("term")).filter(
+        is_token(F.col("term"), stop_words)
+    )
     counted = [F.count_if(F.col("term") == t).alias(f"_tf{i}") for i, t in enumerate(terms)]
     per_doc = words.groupBy(*columns, "snippet").agg(F.count(F.lit(1)).alias("_length"), *counted)
     stats = per_doc.agg(
@@ -82,12 +85,14 @@ def search(
         score = score + _idf(F.col("_n"), F.col(f"_df{i}")) * _saturation(
             tf, F.col("_length"), F.col("_mean")
         )
+    # The filters decide on the score, not on the rows: pushed into one of the two readers of
+    # ``per_doc`` they would make it a different plan and cost a second pass over the texts.
     keep = build_filters(models=[model] if model else None, topic=topic, min_turns=min_turns)
     return (
         per_doc.filter(found)
         .crossJoin(F.broadcast(stats))  # one row
-        .filter(keep)
-        .select(*columns, F.round(score, SCORE_DIGITS).alias("score"), "snippet")
+        .select(*columns, F.when(keep, F.round(score, SCORE_DIGITS)).alias("score"), "snippet")
+        .filter(F.col("score").isNotNull())
         .orderBy(F.desc("score"), "id")
         .limit(limit)
     )
@@ -175,7 +180,9 @@ def build_index(
     """
     docs = fact.select("id", tokens(F.col("search_text"), stop_words).alias("tokens"))
     postings = (
-        docs.select("id", F.size("tokens").alias("length"), F.posexplode("tokens").alias("at", "term"))
+        docs.withColumn("length", F.size("tokens"))
+        .select("id", "length", F.posexplode_outer("tokens").alias("at", "term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("term", "id", "length")
         .agg(F.count(F.lit(1)).alias("tf"), F.min("at").alias("first"))
     )

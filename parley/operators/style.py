@@ -32,7 +32,7 @@ def stratified_first_n(
 ) -> DataFrame:
     """The first ``n`` messages of each model bucket in record order."""
     bucketed = messages.withColumn("model", model_bucket(F.col("model")))
-    return first_n(bucketed, by=["model"], order=[F.col(order)], n=n, slice_on=[order])
+    return first_n(bucketed, by=["model"], order=order, n=n)
 
 
 def with_style(messages: DataFrame, text: str = "text") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions.filters import usable_text
+from parley.functions.small import bounded, member_of
 from parley.functions.text import clean_label
 from parley.functions.topics import DEFAULT_TOPIC
 from parley.functions.topn import first_n
@@ -153,12 +154,13 @@ def cluster_keywords(
     is by (cluster, word), so a large cluster is spread over its words.
     """
     if docs_per_cluster is not None:
-        docs = first_n(docs, [cluster], [F.col(order)], docs_per_cluster, slice_on=[order])
+        docs = first_n(docs, [cluster], order, docs_per_cluster)
     counts = (
         docs.select(
             F.col(cluster).alias("cluster_id"),
-            F.explode(_terms(F.col(text), pattern, list(stop_words))).alias("term"),
+            F.explode_outer(_terms(F.col(text), pattern, list(stop_words))).alias("term"),
         )
+        .filter(F.col("term").isNotNull())
         .groupBy("cluster_id", "term")
         .agg(F.count(F.lit(1)).alias("count"))
     )
@@ -222,7 +224,7 @@ def external_labels(
                     answers.append("_".join(list(keywords)[:2]))
             yield pd.DataFrame({"cluster_id": part["cluster_id"], "answer": answers})
 
-    asked = lists.join(samples, "cluster_id").select("cluster_id", "keywords", "samples")
+    asked = lists.join(bounded(samples), "cluster_id").select("cluster_id", "keywords", "samples")
     schema = f"cluster_id {dict(lists.dtypes)['cluster_id']}, answer string"
     label = clean_label(F.col("answer"))
     blank = F.coalesce(label, F.lit("")).isin("") | F.contains(label, F.lit("None"))
@@ -239,14 +241,15 @@ def cluster_samples(
     order: str = "id",
 ) -> DataFrame:
     """The first ``n`` texts of each cluster as an ordered array."""
-    narrow = docs.select(F.col(cluster).alias("cluster_id"), F.col(order).alias("_order"))
-    # Rank ids first; the texts of the few chosen rows are fetched afterwards.
-    chosen = first_n(narrow, ["cluster_id"], [F.col("_order")], n, slice_on=["_order"])
-    texts = docs.select(F.col(order).alias("_order"), F.col(text).alias("_text"))
-    picked = texts.join(chosen, "_order")
+    rows = docs.select(
+        F.col(cluster).alias("cluster_id"), F.col(order).alias("_order"), F.col(text).alias("_text")
+    )
+    # At most ``n`` texts per cluster are left to collect.
     ordered = F.array_sort(F.collect_list(F.struct("_order", "_text")))
-    return picked.groupBy("cluster_id").agg(
-        F.transform(ordered, lambda p: p["_text"]).alias("samples")
+    return (
+        first_n(rows, ["cluster_id"], "_order", n)
+        .groupBy("cluster_id")
+        .agg(F.transform(ordered, lambda p: p["_text"]).alias("samples"))
     )
 
 
@@ -266,9 +269,10 @@ def ngram_counts(
         F.sort_array(F.concat("_w", _pairs("_w"))).alias("_t")
     )
     predecessors = F.concat(F.array(F.lit(None).cast("string")), F.slice("_t", 1, _all_but_one("_t")))
-    beside = terms.filter(F.size("_t") > 0).select(
-        F.inline(F.arrays_zip(F.col("_t").alias("term"), predecessors.alias("previous")))
-    )
+    # Outer, as the inner form would test the arrays first and so build them twice.
+    beside = terms.select(
+        F.inline_outer(F.arrays_zip(F.col("_t").alias("term"), predecessors.alias("previous")))
+    ).filter(F.col("term").isNotNull())
     return (
         beside.groupBy("term")
         .agg(
@@ -296,17 +300,13 @@ def _pairs(words: str) -> Column:
 def merge_small_topics(
     docs: DataFrame, topic: str = "topic_id", min_size: int = 100, outlier: int = OUTLIER_TOPIC
 ) -> DataFrame:
-    """Topics with fewer than ``min_size`` documents become the outlier topic.
-
-    Only topics of a sufficient size are listed for the join, one row each.
-    """
-    large = (
-        docs.groupBy(topic).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_size)
-    ).select(topic, F.lit(True).alias("_large"))
+    """Topics with fewer than ``min_size`` documents become the outlier topic."""
+    sizes = docs.groupBy(topic).agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.filter(F.col("_n") >= min_size).select(topic)
     return (
-        docs.join(large, topic, "left")
-        .withColumn(topic, F.when(F.col("_large"), F.col(topic)).otherwise(F.lit(outlier)))
-        .drop("_large")
+        member_of(docs, topic, large)
+        .withColumn(topic, F.when(F.col("_member"), F.col(topic)).otherwise(F.lit(outlier)))
+        .drop("_member")
     )
 
 
@@ -328,7 +328,8 @@ def topic_terms(
         F.col(topic).alias("topic_id"), _terms(F.col(text), pattern, list(stop_words)).alias("_w")
     )
     counts = (
-        words.select("topic_id", F.explode(F.concat("_w", _pairs("_w"))).alias("term"))
+        words.select("topic_id", F.explode_outer(F.concat("_w", _pairs("_w"))).alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("topic_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -339,15 +340,18 @@ def topic_terms(
     ).filter(F.col("topics") >= min_topics)
     sizes = kept.groupBy("topic_id").agg(F.sum("tf").alias("size"))
     mean_size = sizes.agg(F.floor(F.avg("size")).alias("a"))
-    weight = F.col("tf") / F.col("size") * F.log(1 + F.col("a") / F.col("f"))
-    position = Window.partitionBy("topic_id").orderBy(F.desc("weight"), "term")
-    return (
-        kept.join(sizes, "topic_id")
-        .crossJoin(F.broadcast(mean_size))  # one row
-        .select("topic_id", "term", F.round(weight, 12).alias("weight"))
+    # The size is the same for all terms of a topic, so ranking needs only the rest of the weight;
+    # sizes are joined to the few rows that remain.
+    position = Window.partitionBy("topic_id").orderBy(F.desc("_score"), "term")
+    best = (
+        kept.crossJoin(F.broadcast(mean_size))  # one row
+        .select("topic_id", "term", (F.col("tf") * F.log(1 + F.col("a") / F.col("f"))).alias("_score"))
         .withColumn("position", F.row_number().over(position))
         .filter(F.col("position") <= top)
     )
+    return best.join(sizes, "topic_id").select(
+        "topic_id", "term", (F.col("_score") / F.col("size")).alias("weight"), "position"
+    )
 
 
 def topic_names(terms: DataFrame, words: int = 4) -> DataFrame:
@@ -387,7 +391,7 @@ def topic_updates(
     assignments: DataFrame, labels: DataFrame, order: str, default: str = DEFAULT_TOPIC
 ) -> DataFrame:
     """``(id, new_topic)`` from cluster assignments and cluster labels, one row per id."""
-    labelled = assignments.join(labels, "cluster_id", "left").select(
+    labelled = assignments.join(bounded(labels), "cluster_id", "left").select(
         "id", F.col(order), F.coalesce("label", F.lit(default)).alias("new_topic")
     )
     return dedup_keep_last(labelled, "id", order).select("id", "new_topic")
@@ -396,11 +400,11 @@ def topic_updates(
 def apply_topics(fact: DataFrame, updates: DataFrame) -> DataFrame:
     """Rows with an update get its topic, the others keep theirs; row count is unchanged.
 
-    ``updates`` holds one row per id. Rows without an id cannot match, and each gets a key of its
-    own so they do not pile up in one partition.
+    ``updates`` holds one row per id. Rows without an id cannot match; their keys are made from
+    their contents so they do not pile up in one partition.
     """
     columns = fact.columns
-    key = F.coalesce(F.col("id"), F.concat(F.lit("\0"), F.uuid()))
+    key = F.coalesce(F.col("id"), F.concat(F.lit("\0"), F.xxhash64(*columns).cast("string")))
     matched = F.col("_new.new_topic")
     return (
         fact.withColumn("_key", key)
