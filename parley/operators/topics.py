@@ -70,18 +70,26 @@ def missing_embeddings(docs: DataFrame, cached: DataFrame) -> DataFrame:
     return docs.join(cached.select("id").distinct(), "id", "left_anti")
 
 
-def hashed_embeddings(docs: DataFrame, features: int = 256) -> DataFrame:
-    """Hashed TF-IDF vectors of unit length: the stand-in when no embedding model is at hand."""
-    prepared = docs.withColumn("_words", F.regexp_extract_all(F.lower("search_text"), F.lit(WORD), F.lit(0)))
-    steps = Pipeline(
-        stages=[
-            HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
-            IDF(inputCol="_tf", outputCol="_tfidf"),
-            Normalizer(inputCol="_tfidf", outputCol="_unit"),
-        ]
-    )
-    vectors = steps.fit(prepared).transform(prepared)
-    return vectors.select("id", vector_to_array("_unit", "float32").alias("embedding"))
+def hashed_embeddings(
+    docs: DataFrame, features: int = 256, idf_corpus: DataFrame | None = None
+) -> DataFrame:
+    """Hashed word counts of unit length: the stand-in when no embedding model is at hand.
+
+    Each vector depends on its own text only, so cached and new vectors go together. With
+    ``idf_corpus`` the words are weighted by their inverse document frequency there.
+    """
+    hashing = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features)
+
+    def counts(texts: DataFrame) -> DataFrame:
+        words = F.regexp_extract_all(F.lower("search_text"), F.lit(WORD), F.lit(0))
+        return hashing.transform(texts.withColumn("_words", words))
+
+    vectors, weighted = counts(docs), "_tf"
+    if idf_corpus is not None:
+        weighted = "_tfidf"
+        vectors = IDF(inputCol="_tf", outputCol=weighted).fit(counts(idf_corpus)).transform(vectors)
+    unit = Normalizer(inputCol=weighted, outputCol="_unit").transform(vectors)
+    return unit.select("id", vector_to_array("_unit", "float32").alias("embedding"))
 
 
 def normalize_vectors(df: DataFrame, column: str = "embedding") -> DataFrame:
