@@ -250,7 +250,8 @@ counts as (select cluster_id, term, count(*) as count from words
   where regexp_full_match(term, '{pattern}') {keep} group by all),
 vocabulary as (select term from counts group by term order by sum(count) desc, term limit 1000),
 keywords as (select * from (
-  select cluster_id, term, count, row_number() over (partition by cluster_id order by count desc, term) as position
+  select cluster_id, term, count,
+    cast(row_number() over (partition by cluster_id order by count desc, term) as integer) as position
   from counts where term in (from vocabulary)) where position <= {top})"""
 
 
@@ -279,8 +280,8 @@ totals as (select topic_id, sum(tf) as size from kept group by 1),
 mean as (select floor(avg(size)) as a from totals),
 weighted as (select topic_id, term, tf * ln(1 + a / f) as score, score / size as weight
   from kept join totals using (topic_id), mean),
-terms as (select * exclude (score) from (select *, row_number() over (partition by topic_id
-  order by score desc, term) as position from weighted) where position <= 10)"""
+terms as (select * exclude (score) from (select *, cast(row_number() over (partition by topic_id
+  order by score desc, term) as integer) as position from weighted) where position <= 10)"""
 
 
 FENCED = r"""
@@ -429,8 +430,8 @@ order by timestamp desc nulls last, id limit 10""",
 select count(*) as matches from doc_fact
 where topic <> 'General / Noise' and model_family = 'gpt-4o' and id in (select id from scores)""",
     "tokenize": f"""with {TOKENS}
-select doc_id, len(t) as n_tokens, md5(array_to_string(t, ' ')) as digest from tokens""",
-    "build_index": f"with {TOKENS} select term, id, length, tf from postings",
+select doc_id, cast(len(t) as integer) as n_tokens, md5(array_to_string(t, ' ')) as digest from tokens""",
+    "build_index": f"with {TOKENS} select term, id, cast(length as integer) as length, tf from postings",
     "index_terms": f"""with {TOKENS}
 select term, count(*) as doc_freq from postings group by term""",
     "index_stats": f"""with {TOKENS}
@@ -457,7 +458,8 @@ from (select *, unnest(range(1, len(conversation) + 1)) as position from one)"""
     "top_languages": f"with {ANNOTATIONS} select * from langs",
     "top_errors": f"with {ANNOTATIONS} select * from errs",
     "freq_report": f"""with {ANNOTATIONS}
-select section, row_number() over (partition by section order by count desc, value) as position, value, count
+select section, cast(row_number() over (partition by section order by count desc, value) as integer) as position,
+  value, count
 from (select 'Top Categories' as section, * from cats union all select 'Top Languages', * from langs
       union all select 'Top Errors', * from errs)""",
     "title_case": r"""select doc_id, md5(array_to_string(list_transform(
@@ -483,7 +485,7 @@ from long group by metric""",
   round(avg(len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))), 6) as avg_words
 from documents group by 1
 order by avg(len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))) desc, 1 limit 10""",
-    "model_bucket_counts": f"""with {HEADERS}
+    "model_bucket": f"""with {HEADERS}
 select model, {BUCKET} as bucket, count(*) as count from headers group by all""",
     "stratified_first_n": f"""with {_first_n(100)} select id, model, md5(text) as digest from chosen""",
     "style_features": f"""with {STYLED}
@@ -522,7 +524,7 @@ from lists""",
     "ngram_counts": f"""with {_grams('documents', 'doc_id', stop=STOP)}
 select term, cast(sum(c) as bigint) as count, count(*) as doc_freq
 from (select doc_id, term, count(*) as c from grams group by all) group by term having count(*) >= 10""",
-    "topic_terms": f"""with {_topic_terms(STOP, 2)}
+    "ctfidf": f"""with {_topic_terms(STOP, 2)}
 select topic_id, term, round(weight, 6) as weight, position from terms""",
     "topic_info": f"""with {_topic_terms('', 1)}
 select topic_id, count(*) as count, any_value(name) as name

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import params, views
+from parley.functions import models
 from parley.functions import text as tx
 from parley.functions.filters import build_filters
-from parley.functions.models import model_bucket, with_model_family
 from parley.functions.tokens import tokens
 from parley.functions.topics import keyword_topic
 from parley.operators import (
@@ -274,9 +274,9 @@ def clean_whitespace(spark, sf):
 
 @query
 def model_family(spark, sf):
-    models = views.headers(spark, sf).select("id", "model")
+    rows = views.headers(spark, sf).select("id", "model")
     return (
-        with_model_family(models)
+        models.with_model_family(rows)
         .groupBy("model", "model_family", "model_release_date")
         .agg(F.count(F.lit(1)).alias("count"))
     )
@@ -373,9 +373,9 @@ def avg_words_by_topic(spark, sf):
 
 
 @query
-def model_bucket_counts(spark, sf):
+def model_bucket(spark, sf):
     rows = views.headers(spark, sf).groupBy("model").agg(F.count(F.lit(1)).alias("count"))
-    return rows.select("model", model_bucket(F.col("model")).alias("bucket"), "count")
+    return rows.select("model", models.model_bucket(F.col("model")).alias("bucket"), "count")
 
 
 @query
@@ -474,7 +474,7 @@ def _merged(spark, sf) -> DataFrame:
 
 
 @query
-def topic_terms(spark, sf):
+def ctfidf(spark, sf):
     return _rounded(
         topics.topic_terms(_merged(spark, sf), stop_words=params.STOP_WORDS, min_topics=2), "weight"
     )
