@@ -9,15 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.functions.filters import build_filters
+from parley.functions.small import ROW_LIMIT
 from parley.functions.stem import porter_stem, stem_term
 from parley.functions.text import snippet
 from parley.functions.tokens import is_token, normalize, query_terms, split_tokens, tokens
 
+# Distinct ids a Bloom filter of the previews is sized for.
+DOCS_PER_GROUP = 500_000
+
+FEW = 50
+
 K1 = 1.2
 B = 0.75
 SNIPPET = 200
@@ -107,14 +115,16 @@ def search_filters(
 ) -> DataFrame:
     """Search without a query: newest rows that pass the filters, score 0."""
     keep = build_filters(models=[model] if model else None, topic=topic, min_turns=min_turns)
+    # Previews are cut before the sort, so no task holds or sends whole texts.
     return (
         fact.filter(keep)
-        .orderBy(F.desc_nulls_last("timestamp"), "id")
-        .limit(limit)
         .select(
             "id", "model_family", "topic", "turn_count", F.lit(0.0).alias("score"),
-            snippet(F.col("search_text"), SNIPPET).alias("snippet"),
+            snippet(F.col("search_text"), SNIPPET).alias("snippet"), "timestamp",
         )
+        .orderBy(F.desc_nulls_last("timestamp"), "id")
+        .limit(limit)
+        .drop("timestamp")
     )
 
 
@@ -219,7 +229,12 @@ def write_index(index: Index, path: str) -> None:
     written = _derived(spark.read.parquet(f"{path}/postings"), index.docs, index.stems)
     terms = written.terms.repartitionByRange("term").sortWithinPartitions("term")
     terms.write.mode("overwrite").parquet(f"{path}/terms")
-    written.docs.write.mode("overwrite").parquet(f"{path}/docs")
+    (
+        written.docs.write.mode("overwrite")
+        .option("parquet.bloom.filter.enabled#id", "true")
+        .option("parquet.bloom.filter.expected.ndv#id", str(DOCS_PER_GROUP))
+        .parquet(f"{path}/docs")
+    )
     written.stats.write.mode("overwrite").parquet(f"{path}/stats")
 
 
@@ -290,13 +305,28 @@ def search_index(
         .limit(limit)
     )
     return (
-        index.docs.select("id", "snippet")
-        .join(F.broadcast(best), "id")  # at most ``limit`` rows
+        _with_previews(index, best, limit)
         .select("id", "model_family", "topic", "turn_count", "score", "snippet")
         .orderBy(F.desc("score"), "id")
     )
 
 
+def _with_previews(index: Index, best: DataFrame, limit: int) -> DataFrame:
+    """Adds the preview of each row. A short result is fetched first, so that its ids reach the
+    files as a filter and most of the previews are never read."""
+    docs = index.docs.select("id", "snippet")
+    if limit > ROW_LIMIT:
+        return best.join(docs, "id")
+    rows = best.collect()
+    ids = [row["id"] for row in rows]
+    if len(ids) > FEW:
+        wanted = F.col("id").isin(ids)
+    else:  # single comparisons can use the files' Bloom filters
+        wanted = reduce(or_, [F.col("id") == i for i in ids], F.lit(False))
+    found = best.sparkSession.createDataFrame(rows, best.schema)
+    return docs.filter(wanted).join(F.broadcast(found), "id")
+
+
 def count_index(
     index: Index,
     fact: DataFrame,
