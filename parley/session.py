@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,14 +27,10 @@ def get_spark(app: str = "parley", master: str | None = None, **conf: str) -> Sp
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder named by ``spark.checkpoint.dir``.
-
-    Every executor must reach that folder, so a machine-local temporary folder stands in for it
-    only when the whole session runs on one machine.
+    """A fresh path below the folder named by ``spark.checkpoint.dir``, which every executor must
+    reach. Where that is unset, the path is below the warehouse folder, which they share too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="parley-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
