@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import licenses, quality, urls
+from parley.llm import decontaminate, licenses, packing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,3 +135,61 @@ winners as (
   group by host, path)
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
 from parts left join winners using (host, path)"""
+
+
+# ---- 5: benchmark decontamination ----
+
+
+@query
+def op5_benchmark_leaks(spark, sf):
+    found = decontaminate.find_items(
+        _table(spark, sf, "documents", "doc_id", "text"), _table(spark, sf, "benchmark", "item_id", "text")
+    )
+    pairs = found.select("doc_id", F.explode("items").alias("found"))
+    return pairs.select("doc_id", F.col("found.item").alias("item_id"), F.col("found.containment").alias("containment"))
+
+
+#: {docs} stands for a table of documents.
+LEAKS_SQL = rf"""
+leak_words as (
+  select 'd' as kind, doc_id as id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') as w from {{docs}}
+  union all
+  select 'b', item_id, regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') from benchmark),
+leak_shingles as (
+  select distinct kind, id, array_to_string(list_slice(w, i, i + 4), ' ') as s
+  from (select kind, id, w, unnest(range(1, len(w) - 3)) as i from leak_words)),
+leaks as (
+  select d.id as doc_id, b.id as item_id, count(*) / any_value(n) as containment
+  from leak_shingles d
+  join (select *, count(*) over (partition by id) as n from leak_shingles where kind = 'b') b using (s)
+  where d.kind = 'd' group by d.id, b.id having count(*) >= 0.8 * any_value(n))"""
+
+ORACLES["op5_benchmark_leaks"] = f"""
+with {LEAKS_SQL.replace("{docs}", "documents")}
+select doc_id, item_id, containment from leaks"""
+
+
+# ---- 8: packing ----
+
+TOKENIZER = "word_bpe_49k.json"
+END_ID = 2
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def packed(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    pieces = packing.pack(docs, tokenizer or tokenizer_path(), END_ID)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query
+def op8_curve_packing(spark, sf):
+    return packed(_table(spark, sf, "documents", "doc_id", "text"))
