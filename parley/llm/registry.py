@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, licenses, packing, quality, urls
+from parley.llm import decontaminate, licenses, ordered_minhash, packing, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,6 +137,14 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
 from parts left join winners using (host, path)"""
 
 
+# ---- 4: near-duplicates ----
+
+
+@query
+def op4_order_minhash(spark, sf):
+    return ordered_minhash.near_duplicates(_table(spark, sf, "documents", "doc_id", "text"))
+
+
 # ---- 5: benchmark decontamination ----
 
 
