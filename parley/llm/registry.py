@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, licenses, ordered_minhash, packing, quality, urls
+from parley.llm import decontaminate, licenses, ordered_minhash, packing, quality, substrings, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -179,6 +179,45 @@ with {LEAKS_SQL.replace("{docs}", "documents")}
 select doc_id, item_id, containment from leaks"""
 
 
+# ---- 7: substring dedup ----
+
+
+@query
+def op7_seed_extend(spark, sf):
+    found = substrings.remove_repeats(_table(spark, sf, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col("repeats.n_words").alias("n_words"),
+        F.col("repeats.n_removed").alias("n_removed"),
+        F.sha2("repeats.kept", 256).alias("kept_sha256"),
+    )
+
+
+ORACLES["op7_seed_extend"] = rf"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}+') as w from documents),
+windows as (
+  select doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') as s
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from words)),
+removed as (
+  select doc_id, list(distinct i + k) as gone
+  from (select doc_id, i, min(doc_id) over (partition by s) as m from windows),
+    (select unnest(range(13)) as k)
+  where m < doc_id group by doc_id),
+kept as (
+  select doc_id, w, coalesce(gone, []) as gone from words left join removed using (doc_id)),
+flat as (
+  select doc_id, len(w) as n, len(gone) as r, w, gone from kept),
+left_over as (
+  select f.doc_id, string_agg(x.word, ' ' order by x.i) as t
+  from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from words) x
+  join flat f using (doc_id)
+  left join (select doc_id, unnest(gone) as i from removed) g on g.doc_id = x.doc_id and g.i = x.i
+  where g.i is null group by f.doc_id)
+select f.doc_id, cast(n as bigint) as n_words, cast(r as bigint) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from flat f left join left_over l on l.doc_id = f.doc_id"""
+
+
 # ---- 8: packing ----
 
 TOKENIZER = "word_bpe_49k.json"
