@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, licenses, ordered_minhash, packing, quality, substrings, urls
+from parley.llm import decontaminate, licenses, ordered_minhash, packing, quality, substrings, suffixes, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -240,3 +240,18 @@ def packed(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 @query
 def op8_curve_packing(spark, sf):
     return packed(_table(spark, sf, "documents", "doc_id", "text"))
+
+
+# ---- 10: suffix-array dedup ----
+
+
+@query
+def op10_interval_expansion(spark, sf):
+    found = suffixes.remove_repeats(_table(spark, sf, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col("repeats.n_bytes").alias("n_bytes"),
+        F.col("repeats.n_removed").alias("n_removed"),
+        F.size("repeats.spans").cast("bigint").alias("n_spans"),
+        F.sha2("repeats.kept", 256).alias("kept_sha256"),
+    )

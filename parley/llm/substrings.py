@@ -31,18 +31,25 @@ SALTS = 1024
 _ROWS = "key long, salt int, id long, known boolean"
 
 
-def fold(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+def fold(keys: np.ndarray, ids: np.ndarray, repeats: bool = False) -> pa.RecordBatch:
     """A batch's distinct (key, id): the smallest id of each key under salt 0, with ``known`` if
-    there are others; the others under a salt of their own."""
+    there are others; the others under a salt of their own. With ``repeats`` a key is also known if
+    it repeats under one id."""
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
     new_key = np.ones(len(keys), dtype=bool)
     new_key[1:] = keys[1:] != keys[:-1]
     new = new_key.copy()
     new[1:] |= ids[1:] != ids[:-1]
-    keys, ids, first = keys[new], ids[new], new_key[new]
     several = np.zeros(len(keys), dtype=bool)
-    several[:-1] = ~first[1:]
+    if repeats:
+        several[:-1] = ~new_key[1:]
+        several = several[new]
+        keys, ids, first = keys[new], ids[new], new_key[new]
+    else:
+        keys, ids, first = keys[new], ids[new], new_key[new]
+        several = several[: len(keys)]
+        several[:-1] = ~first[1:]
     salt = np.where(first, 0, 1 + (mix(ids.astype(np.uint64)) % np.uint64(SALTS)).astype(np.int32))
     return pa.RecordBatch.from_arrays(
         [pa.array(signed(keys)), pa.array(salt.astype(np.int32)), pa.array(ids), pa.array(several | ~first)],
