@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, licenses, ordered_minhash, packing, quality, substrings, suffixes, urls
+from parley.llm import decontaminate, licenses, maxent, ordered_minhash, packing, quality, substrings, suffixes, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -179,6 +179,14 @@ with {LEAKS_SQL.replace("{docs}", "documents")}
 select doc_id, item_id, containment from leaks"""
 
 
+# ---- 6: language-model scoring ----
+
+
+@query
+def op6_maxent_score(spark, sf):
+    return maxent.score_texts(_table(spark, sf, "documents", "doc_id", "text"))
+
+
 # ---- 7: substring dedup ----
 
 
