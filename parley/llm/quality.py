@@ -130,6 +130,9 @@ def assess(docs: DataFrame, text: str = "text", max_loss: float = MAX_LOSS) -> D
 
 def clean(docs: DataFrame, text: str = "text", max_loss: float = MAX_LOSS) -> DataFrame:
     """The documents that are kept, with their cleaned text and the columns of ``docs``."""
-    judged = assess(docs.withColumnRenamed("quality", "__quality"), text, max_loss).filter("quality.kept")
+    judged = assess(docs.withColumnRenamed("quality", "__quality"), text, max_loss)
+    # A filter on what explode() gives stays above it. Below, the optimizer would write the whole
+    # assessment into the condition, once for each place that uses it.
+    judged = judged.withColumn("quality", F.explode(F.array("quality"))).filter("quality.kept")
     out = judged.withColumn(text, F.col("quality.cleaned")).drop("quality")
     return out.withColumnRenamed("__quality", "quality").select(*docs.columns)

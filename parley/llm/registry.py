@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, licenses, maxent, ordered_minhash, packing, quality, substrings, suffixes, urls
+from parley.llm import chat, decontaminate, licenses, maxent, ordered_minhash, packing, quality, substrings, suffixes, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,6 +137,14 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
 from parts left join winners using (host, path)"""
 
 
+# ---- 3: chat formatting ----
+
+
+@query
+def op3_role_repair(spark, sf):
+    return chat.repair(_table(spark, sf, "conversations", "conv_id", "turn", "role", "text"))
+
+
 # ---- 4: near-duplicates ----
 
 

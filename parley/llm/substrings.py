@@ -28,7 +28,7 @@ LENGTH = 13
 ANCHOR = 4  # words
 SALTS = 1024
 
-_ROWS = "key long, salt int, id long, known boolean"
+FOLDED = "key long, salt int, id long, known boolean"
 
 
 def fold(keys: np.ndarray, ids: np.ndarray, repeats: bool = False) -> pa.RecordBatch:
@@ -175,7 +175,7 @@ def remove_repeats(
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     named = texts.filter(F.col("id").isNotNull())
-    anchors = named.mapInArrow(_anchors(length, anchor), _ROWS)
+    anchors = named.mapInArrow(_anchors(length, anchor), FOLDED)
     by = Window.partitionBy("key", "salt")
     shared = (
         anchors.withColumn(
@@ -187,7 +187,7 @@ def remove_repeats(
         .agg(F.collect_set("key").alias("anchors"))
     )
     windows = named.join(shared, "id").select("id", "text", "anchors")
-    windows = windows.mapInArrow(_extended(length, anchor), _ROWS)
+    windows = windows.mapInArrow(_extended(length, anchor), FOLDED)
     repeated = (
         windows.withColumn("again", (F.col("salt") != 0) | (F.min("id").over(by) < F.col("id")))
         .filter("again")

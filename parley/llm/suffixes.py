@@ -17,12 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.arrow import small_batches
 from parley.llm.store import stored
-from parley.llm.substrings import _ROWS, _member, fold
+from parley.llm.substrings import FOLDED, _member, fold
 from parley.llm.words import BYTE_VALUES, bytes_of, mix, powers, row_chunks, sliding_min
 
 LENGTH = 400
@@ -299,6 +299,16 @@ def _removal(length: int):
     return remove
 
 
+def whole_characters(kept) -> Column:
+    """The text of bytes that a cut may have left with parts of characters, without these."""
+
+    @F.arrow_udf("string")
+    def decoded(values: pa.Array) -> pa.Array:
+        return pa.array([v.as_py().decode("utf-8", "ignore") if v.is_valid else None for v in values], pa.string())
+
+    return decoded(kept)
+
+
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """All rows of ``docs`` plus a struct ``repeats`` (replacing a column of that name):
     ``n_bytes``, ``n_removed``, ``spans`` (first and last byte of each run removed) and ``kept``
@@ -319,7 +329,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     small_batches(spark)
     texts = docs.select(F.xxhash64(id).alias("doc"), F.col(text).alias("text"))
     by = Window.partitionBy("key", "salt")
-    cores = texts.mapInArrow(_cores(length), _ROWS)
+    cores = texts.mapInArrow(_cores(length), FOLDED)
     shared = (
         cores.withColumn("shared", F.col("known") | F.max("known").over(by) | (F.count("*").over(by) > 1))
         .filter("shared")
