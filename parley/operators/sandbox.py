@@ -1,57 +1,101 @@
-"""Read-only SQL over named tables, with a row cap."""
+"""Read-only SQL over named tables, with a row cap.
+
+What a statement may do is decided on its parsed plan, not on its text, so comments, quoting and
+letter case play no part.
+"""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
-# What a statement may start with, and words it may not hold outside literals.
-ALLOWED_STARTS = ("SELECT", "WITH", "VALUES", "DESCRIBE", "SHOW", "EXPLAIN")
-FORBIDDEN = (
-    "DROP", "DELETE", "INSERT", "UPDATE", "ALTER", "TRUNCATE", "CREATE", "MERGE", "REPLACE TABLE",
-    "COPY", "LOAD", "SET", "RESET", "CACHE", "UNCACHE", "REFRESH", "USE", "ADD JAR", "ADD FILE",
-    "REFLECT", "JAVA_METHOD", "TRY_REFLECT",
-)
-_LITERALS = re.compile(
-    r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", re.DOTALL
+# Plan nodes that only read. Anything else, commands and table functions among them, is refused.
+READING = frozenset(
+    {
+        "Aggregate", "Deduplicate", "Distinct", "Except", "Filter", "Generate", "GlobalLimit", "Intersect",
+        "Join", "LateralJoin", "LocalLimit", "LocalRelation", "Offset", "OneRowRelation", "Pivot", "Project",
+        "Sample", "Sort", "SubqueryAlias", "Union", "Unpivot", "UnresolvedHaving", "UnresolvedInlineTable",
+        "UnresolvedRelation", "UnresolvedSubqueryColumnAliases", "UnresolvedWith", "Window",
+        "WithWindowDefinition",
+    }
 )
+# Functions that run code of the caller's choice.
+FORBIDDEN_FUNCTIONS = frozenset({"reflect", "java_method", "try_reflect"})
 
 
 class ForbiddenStatement(ValueError):
     pass
 
 
-def check_read_only(sql: str) -> None:
-    """Raise unless the text is a single reading statement."""
-    bare = _LITERALS.sub(" ", sql).strip().rstrip(";").strip()
-    if ";" in bare:
-        raise ForbiddenStatement("only one statement at a time")
-    first = re.match(r"[(\s]*(\w+)", bare)
-    if not first or first.group(1).upper() not in ALLOWED_STARTS:
-        raise ForbiddenStatement(f"statements start with one of {', '.join(ALLOWED_STARTS)}")
-    for word in FORBIDDEN:
-        if re.search(rf"\b{word}\b".replace(" ", r"\s+"), bare, re.IGNORECASE):
-            raise ForbiddenStatement(f"{word} is not allowed")
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _kind(node) -> str:
+    return node.getClass().getSimpleName().rstrip("$")
+
+
+def _check_expression(expression, names: frozenset[str]) -> None:
+    if _kind(expression) == "UnresolvedFunction":
+        parts = _items(expression.nameParts())
+        if len(parts) > 1 or parts[-1].lower() in FORBIDDEN_FUNCTIONS:
+            raise ForbiddenStatement(f"{'.'.join(parts)} is not allowed")
+    if _kind(expression) in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery"):
+        _check_plan(expression.plan(), names)
+    for child in _items(expression.children()):
+        _check_expression(child, names)
+
+
+def _check_plan(plan, names: frozenset[str]) -> None:
+    kind = _kind(plan)
+    if kind not in READING:
+        raise ForbiddenStatement(f"{kind} is not a reading statement")
+    if kind == "UnresolvedRelation":
+        parts = _items(plan.multipartIdentifier())
+        if len(parts) != 1 or parts[0].lower() not in names:
+            raise ForbiddenStatement(f"no table {'.'.join(parts)} here")
+    if kind == "UnresolvedWith":
+        for named in _items(plan.cteRelations()):
+            _check_plan(named._2(), names)
+            names = names | {named._1().lower()}
+    for expression in _items(plan.expressions()):
+        _check_expression(expression, names)
+    for child in _items(plan.children()):
+        _check_plan(child, names)
+
+
+def check_read_only(spark: SparkSession, sql: str, tables: Iterable[str] = ()) -> None:
+    """Raise unless the text is a single query over the named tables and its own WITH clauses."""
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    except ParseException as e:
+        raise ForbiddenStatement("not a single statement in SQL") from e
+    _check_plan(plan, frozenset(t.lower() for t in tables))
 
 
 def guarded_sql(
     spark: SparkSession, sql: str, views: Mapping[str, DataFrame], max_rows: int = 20
 ) -> DataFrame:
-    """Run one reading statement over the given tables and keep at most ``max_rows`` rows.
+    """Run one query over the given tables and keep at most ``max_rows`` rows.
 
-    The cap is part of the plan. Names resolve while the statement is analyzed, so the views are
-    gone again when this returns.
+    The cap is part of the plan. Names resolve while the statement is analyzed; when this returns,
+    the session has the temporary views it had before.
     """
-    check_read_only(sql)
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
+    check_read_only(spark, sql, views)
+    catalog = spark._jsparkSession.sessionState().catalog()
+    before = {name: spark.table(name) for name in views if catalog.getTempView(name).isDefined()}
     try:
-        return spark.sql(sql.strip().rstrip(";")).limit(max_rows)
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(sql).limit(max_rows)
     finally:
         for name in views:
-            spark.catalog.dropTempView(name)
+            if name in before:
+                before[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
 
 
 def guarded_rows(

@@ -88,24 +88,37 @@ def test_profile_json(spark, tmp_path):
 
 READS = [
     "SELECT 1", " with x as (select 1 as a) select * from x;", "VALUES (1)", "select 'drop table x' as s",
-    "select updated_at from (select 1 as updated_at)", "select 1 -- delete", "(select 1)", "describe chats",
+    "select updated_at from (select 1 as updated_at)", "select 1 -- delete", "(select 1)",
+    "select * from chats where n in (select max(n) from CHATS)", "with a as (select 1 as n), b as (select * from a) select * from b",
+    "select n, row_number() over (order by n) r from chats group by n having n > 1 order by 1 limit 3",
 ]
 WRITES = [
     "DROP TABLE chats", "select 1; drop table x", "insert into chats values (1)", "create table t as select 1",
     "with x as (select 1) insert into t select * from x", "SET a=b", "cache table chats", "", "explain drop table chats",
     "select reflect('java.lang.System', 'exit', 1)", "/* x */ delete from chats",
+    "describe chats", "show tables", "select * from other", "select * from text.`/etc/hostname`", "select * from range(9)",
+    "select 1 -- x\r, java_method('java.lang.System', 'exit', '1')", "select r'\\', java_method('a', 'b') , 'x'",
+    "select system.builtin.reflect('a', 'b')", "select (select max(n) from other)", "select * from chats where exists (select 1 from other)",
+    "with chats2 as (select * from other) select * from chats2", "select transform(array(1), x -> reflect('a', 'b'))",
 ]
 
 
 @pytest.mark.parametrize("sql", READS)
-def test_reads_pass(sql):
-    check_read_only(sql)
+def test_reads_pass(spark, sql):
+    check_read_only(spark, sql, ["chats"])
 
 
 @pytest.mark.parametrize("sql", WRITES)
-def test_writes_are_refused(sql):
+def test_writes_are_refused(spark, sql):
     with pytest.raises(ForbiddenStatement):
-        check_read_only(sql)
+        check_read_only(spark, sql, ["chats"])
+
+
+def test_views_of_the_caller_stay(spark):
+    spark.range(3).createOrReplaceTempView("kept")
+    assert guarded_sql(spark, "select * from kept", {"kept": spark.range(5)}).count() == 5
+    assert spark.table("kept").count() == 3
+    spark.catalog.dropTempView("kept")
 
 
 def test_guarded_sql_caps_rows(spark):
