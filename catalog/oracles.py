@@ -216,7 +216,8 @@ chosen as (select id, bucket as model, text from (
   from (select *, {BUCKET} as bucket from first_messages)) where r <= {n})"""
 
 
-STYLED = rf"""{_first_n(5000)},
+STYLED = rf"""{FIRST},
+chosen as (select id, {BUCKET} as model, text from first_messages),
 worded as (select *, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') as w from chosen),
 styled as (
   select id, model, cast(len(w) as integer) as word_count,
@@ -234,18 +235,12 @@ docs as (select doc_id as id, text, source, coalesce(label, -1) as cluster_id
   from documents left join embeddings on vec_id = doc_id)"""
 
 
-def _keywords(pattern: str, top: int, stop: str = "", first: int | None = None) -> str:
+def _keywords(pattern: str, top: int, stop: str = "", text: str = "text") -> str:
     """Words are maximal runs of word characters; the pattern must match a whole run."""
-    source = "docs"
-    if first:
-        source = (
-            "(select * from (select *, row_number() over (partition by cluster_id order by id) as r "
-            f"from docs) where r <= {first})"
-        )
     keep = f"and term not in ({stop})" if stop else ""
     return rf"""{CLUSTERED},
-words as (select cluster_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}_]+')) as term
-  from {source}),
+words as (select cluster_id, unnest(regexp_extract_all(lower({text}), '[\p{{L}}\p{{M}}\p{{N}}_]+')) as term
+  from docs),
 counts as (select cluster_id, term, count(*) as count from words
   where regexp_full_match(term, '{pattern}') {keep} group by all),
 vocabulary as (select term from counts group by term order by sum(count) desc, term limit 1000),
@@ -509,7 +504,14 @@ from (select *, sqrt(list_sum(list_transform(embedding, lambda x: cast(x as doub
 select cluster_id, cast(r - 1 as integer) as position, md5(text) as digest
 from (select *, row_number() over (partition by cluster_id order by id) as r from docs) where r <= 3""",
     "cluster_keywords": f"with {_keywords('[a-z]{3,}', 15, STOP)} select * from keywords",
-    "cluster_keywords_first_docs": f"with {_keywords('..+', 3, first=200)} select * from keywords",
+    "cluster_keywords_whole_words": f"with {_keywords('..+', 3)} select * from keywords",
+    "long_prompts": rf"""with {FIRST}
+select model, count(*) as count from first_messages
+where len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) > 3 group by model""",
+    "cluster_keywords_chat": f"""with {_keywords(
+        '[a-z]{3,}', 15,
+        STOP + ", 'please', 'help', 'write', 'create', 'make', 'chatgpt', 'openai', 'code'",
+        text="concat('Please HELP me write code: ', text)")} select * from keywords""",
     "cluster_labels": f"""with {_keywords('[a-z]{3,}', 15)},
 lists as (select cluster_id, list(term order by position) as k from keywords group by 1)
 select cluster_id, case when list_has_any(k, ['eaux', 'aux']) then 'French-like'

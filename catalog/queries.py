@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from catalog import params, views
 from parley.functions import models
 from parley.functions import text as tx
-from parley.functions.filters import build_filters
+from parley.functions.filters import build_filters, more_words
 from parley.functions.tokens import tokens
 from parley.functions.topics import keyword_topic
 from parley.operators import (
@@ -385,7 +385,7 @@ def stratified_first_n(spark, sf):
 
 
 def _styled(spark, sf) -> DataFrame:
-    return style.with_style(style.stratified_first_n(style.first_messages(views.raw(spark, sf))))
+    return style.with_style(style.bucketed(style.first_messages(views.raw(spark, sf))))
 
 
 @query
@@ -442,10 +442,23 @@ def cluster_keywords(spark, sf):
 
 
 @query
-def cluster_keywords_first_docs(spark, sf):
-    return topics.cluster_keywords(
-        views.clustered_docs(spark, sf), top=3, pattern=topics.WORD, docs_per_cluster=200
+def cluster_keywords_whole_words(spark, sf):
+    return topics.cluster_keywords(views.clustered_docs(spark, sf), top=3, pattern=topics.WORD)
+
+
+@query
+def long_prompts(spark, sf):
+    messages = style.first_messages(views.raw(spark, sf)).filter(more_words(F.col("text"), 3))
+    return messages.groupBy("model").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query
+def cluster_keywords_chat(spark, sf):
+    stop = [*params.STOP_WORDS, *topics.CHAT_STOP_WORDS]
+    docs = views.clustered_docs(spark, sf).withColumn(
+        "search_text", F.concat(F.lit("Please HELP me write code: "), "search_text")
     )
+    return topics.cluster_keywords(docs, stop_words=stop)
 
 
 @query

@@ -15,11 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts. A small test file is a single row group and thus a single task, so on one
-    machine its rows are first spread over the cores; a cluster reads the files as they are."""
-    docs = table(spark, sf_dir, "documents")
-    context = spark.sparkContext
-    return docs.repartition(context.defaultParallelism) if context.master.startswith("local") else docs
+    """The texts, split as their files are."""
+    return table(spark, sf_dir, "documents")
 
 
 def _hash(c: Column) -> Column:
@@ -187,8 +184,10 @@ def clustered_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def annotation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One annotation per event, with gaps, odd cases and placeholder values."""
     k = F.col("event_id")
-    number = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").select(
+    number = F.col("number")
+    # Parsed once: a column of its own that several expressions use is not written into them.
+    parsed = F.get_json_object("props", "$.k").cast("int")
+    return table(spark, sf_dir, "events").withColumn("number", parsed).select(
         F.col("event_type").alias("prompt_preview"),
         F.when(k % 17 != 0, F.concat(F.lit(" "), "event_type", F.lit(" c/c++ don't"))).alias("category"),
         _choose(

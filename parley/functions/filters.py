@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parley.functions.text import words
 from parley.functions.topics import NOISE_TOPIC
 
 
@@ -40,6 +41,11 @@ def build_filters(
     return keep
 
 
+def more_words(c: Column, than: int) -> Column:
+    """More than so many words between white space; false for NULL."""
+    return F.coalesce(F.size(words(c)) > than, F.lit(False))
+
+
 def usable_text(c: Column, longer_than: int = 10) -> Column:
     """Text long enough to model."""
     return F.length(c) > longer_than

@@ -1,4 +1,5 @@
-"""Small sides of joins, with their size checked."""
+"""Membership and null-safe conditions for joins. Nothing here runs a job: adaptive execution
+broadcasts a side that turns out to be small."""
 
 from __future__ import annotations
 
@@ -7,36 +8,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROW_LIMIT = 10_000
-
-
-def bounded(df: DataFrame, limit: int = ROW_LIMIT) -> DataFrame:
-    """The same rows, ready to broadcast if there are at most ``limit`` of them.
-
-    Reads at most ``limit`` + 1 rows to find out. A larger table is returned as it is and joins
-    the ordinary way.
-    """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def member_of(df: DataFrame, column: str, members: DataFrame, limit: int = 1_000) -> DataFrame:
+def member_of(df: DataFrame, column: str, members: DataFrame) -> DataFrame:
     """Adds the flag ``_member``: whether the row's value is among ``members`` (one column,
-    distinct). NULL is no member.
-
-    A short list becomes a literal set, so rows stay where they are; a longer one is joined.
-    """
+    distinct). NULL is no member."""
     name = members.columns[0]
-    members = members.filter(F.col(name).isNotNull())
-    rows = members.limit(limit + 1).collect()
-    if len(rows) <= limit:
-        values = [r[0] for r in rows]
-        hit = F.col(column).isin(values) if values else F.lit(False)
-        return df.withColumn("_member", F.coalesce(hit, F.lit(False)))
-    flags = members.select(F.col(name).alias(column), F.lit(True).alias("_member"))
-    return df.join(flags, column, "left").withColumn("_member", F.coalesce("_member", F.lit(False)))
+    flags = members.filter(F.col(name).isNotNull())
+    flags = flags.select(F.col(name).alias("_value"), F.lit(True).alias("_found"))
+    joined = df.join(flags, df[column] == F.col("_value"), "left")
+    return joined.withColumn("_member", F.coalesce("_found", F.lit(False))).drop("_value", "_found")
 
 
 def null_safe(left: str, right: str, columns: Sequence[str]) -> Column:

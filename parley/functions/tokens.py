@@ -44,7 +44,7 @@ def split_tokens(c: Column) -> Column:
 
 
 def is_token(t: Column, stop_words: Iterable[str] = ()) -> Column:
-    stop = [w for w in stop_words if w.isalpha()]
+    stop = sorted(plain_words(stop_words))
     return (t != "") & ~t.isin(stop) if stop else t != ""
 
 
@@ -53,10 +53,18 @@ def tokens(c: Column, stop_words: Iterable[str] = ()) -> Column:
     return F.filter(split_tokens(c), lambda t: is_token(t, stop_words))
 
 
+def plain(text: str) -> str:
+    """``normalize`` for a string at hand."""
+    pairs = str.maketrans(ACCENTED, PLAIN.ljust(len(ACCENTED), "\0"))
+    return text.lower().translate(pairs).replace("\0", "")
+
+
+def plain_words(words: Iterable[str]) -> set[str]:
+    """Words as they appear among the tokens; what cannot be a token is left out."""
+    return {w for w in map(plain, words) if re.fullmatch("[a-z]+", w)}
+
+
 def query_terms(query: str, stop_words: Iterable[str] = ()) -> list[str]:
     """Distinct search terms of a short query string, by the same rule."""
-    lowered = query.lower().translate(
-        str.maketrans(ACCENTED, PLAIN.ljust(len(ACCENTED), "\0"))
-    ).replace("\0", "")
-    stop = set(stop_words)
-    return sorted({t for t in re.findall("[a-z]+", lowered) if t not in stop})
+    stop = plain_words(stop_words)
+    return sorted({t for t in re.findall("[a-z]+", plain(query)) if t not in stop})

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.functions.small import bounded, null_safe
-
 SALTS = 64
 
 
@@ -17,25 +15,18 @@ def first_n(df: DataFrame, by: Sequence[str], order: str, n: int, salts: int = S
 
     Only keys are ranked and moved: each group is cut in ``salts`` slices, as a row among the
     first n of its group is among the first n of any slice of it, and the second ranking sees at
-    most ``n * salts`` keys of a group. What comes out is the last key wanted per group; the rows
-    themselves are then kept or dropped where they are.
+    most ``n * salts`` keys of a group. The rows are then found by their unique keys, which no
+    group holds more of than any other.
     """
     by = list(by)
     sliced = Window.partitionBy(*by, "_salt").orderBy(order)
     whole = Window.partitionBy(*by).orderBy(order)
-    last = (
+    chosen = (
         df.select(*by, order)
         .withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(salts)))
         .withColumn("_rank", F.row_number().over(sliced))
         .filter(F.col("_rank") <= n)
         .withColumn("_rank", F.row_number().over(whole))
         .filter(F.col("_rank") <= n)
-        .groupBy(*by)
-        .agg(F.max(order).alias("_last"))
-    )
-    return (
-        df.alias("r")
-        .join(bounded(last).alias("l"), null_safe("r", "l", by))
-        .filter(F.col(f"r.{order}") <= F.col("l._last"))
-        .select("r.*")
     )
+    return df.join(chosen.select(order), order, "left_semi")

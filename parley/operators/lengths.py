@@ -70,20 +70,22 @@ def length_describe(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     value, n = F.col("value"), F.col("n")
-    weighted = value.cast("double") * n
-    mean = F.col("_sum") / F.col("count")
-    moments = (
-        counts.filter(value.isNotNull())
+    known = counts.filter(value.isNotNull())
+    moments = known.groupBy("metric").agg(
+        F.sum(n).alias("count"),
+        (F.sum(value.cast("double") * n) / F.sum(n)).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    # Around the mean, in a second pass over the counts: squares of large values lose the deviation.
+    away = value.cast("double") - F.col("mean")
+    around = (
+        known.join(F.broadcast(moments.select("metric", "mean")), "metric")  # one row per metric
         .groupBy("metric")
-        .agg(
-            F.sum(n).alias("count"),
-            F.sum(weighted).alias("_sum"),
-            F.sum(weighted * value).alias("_squares"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
+        .agg(F.sum(away * away * n).alias("_squares"))
     )
-    spread = (F.col("_squares") - F.col("_sum") * mean) / (F.col("count") - 1)
+    moments = moments.join(F.broadcast(around), "metric")  # one row per metric
+    spread = F.col("_squares") / (F.col("count") - 1)
     quantiles = exact_quantiles(counts, "value", "n", probs, by=["metric"])
     wide = quantiles.groupBy("metric").agg(
         *[
@@ -94,8 +96,8 @@ def length_describe(
     return moments.join(F.broadcast(wide), "metric").select(  # one row per metric
         "metric",
         "count",
-        mean.alias("mean"),
-        F.when(F.col("count") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("std"),
+        "mean",
+        F.when(F.col("count") > 1, F.sqrt(spread)).alias("std"),
         "min",
         *[f"p{round(p * 100)}" for p in probs],
         "max",

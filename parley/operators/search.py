@@ -9,14 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.functions.filters import build_filters
-from parley.functions.small import ROW_LIMIT
 from parley.functions.stem import porter_stem, stem_term
 from parley.functions.text import snippet
 from parley.functions.tokens import is_token, normalize, query_terms, split_tokens, tokens
@@ -24,8 +21,6 @@ from parley.functions.tokens import is_token, normalize, query_terms, split_toke
 # Distinct ids a Bloom filter of the previews is sized for.
 DOCS_PER_GROUP = 500_000
 
-FEW = 50
-
 K1 = 1.2
 B = 0.75
 SNIPPET = 200
@@ -75,12 +70,16 @@ def search(
     preview = F.when(_may_contain(text, terms), snippet(text, SNIPPET))
     # A projection of its own, as what stands beside an explode is evaluated per exploded row. The
     # outer form, as the inner one adds a test for empty arrays that splits every text once more.
-    rows = fact.select(*columns, preview.alias("snippet"), split_tokens(text).alias("_tokens"))
-    words = rows.select(*columns, "snippet", F.explode_outer("_tokens").alias("term")).filter(
+    # The row's number keeps equal rows apart.
+    rows = fact.select(
+        F.monotonically_increasing_id().alias("_row"), *columns, preview.alias("snippet"),
+        split_tokens(text).alias("_tokens"),
+    )
+    words = rows.select("_row", *columns, "snippet", F.explode_outer("_tokens").alias("term")).filter(
         is_token(F.col("term"), stop_words)
     )
     counted = [F.count_if(F.col("term") == t).alias(f"_tf{i}") for i, t in enumerate(terms)]
-    per_doc = words.groupBy(*columns, "snippet").agg(F.count(F.lit(1)).alias("_length"), *counted)
+    per_doc = words.groupBy("_row", *columns, "snippet").agg(F.count(F.lit(1)).alias("_length"), *counted)
     stats = per_doc.agg(
         F.count(F.lit(1)).alias("_n"),
         F.avg("_length").alias("_mean"),
@@ -295,7 +294,8 @@ def search_index(
     stop_words: Iterable[str] = (),
     stems: bool = False,
 ) -> DataFrame:
-    """As ``search``, through the index; the snippets of the few best rows are fetched last."""
+    """As ``search``, through the index; the snippets of the few best rows are joined last, where
+    adaptive execution sends these rows to the previews."""
     keep = build_filters(models=[model] if model else None, topic=topic, min_turns=min_turns)
     best = (
         fact.filter(keep)
@@ -305,28 +305,12 @@ def search_index(
         .limit(limit)
     )
     return (
-        _with_previews(index, best, limit)
+        best.join(index.docs.select("id", "snippet"), "id")
         .select("id", "model_family", "topic", "turn_count", "score", "snippet")
         .orderBy(F.desc("score"), "id")
     )
 
 
-def _with_previews(index: Index, best: DataFrame, limit: int) -> DataFrame:
-    """Adds the preview of each row. A short result is fetched first, so that its ids reach the
-    files as a filter and most of the previews are never read."""
-    docs = index.docs.select("id", "snippet")
-    if limit > ROW_LIMIT:
-        return best.join(docs, "id")
-    rows = best.collect()
-    ids = [row["id"] for row in rows]
-    if len(ids) > FEW:
-        wanted = F.col("id").isin(ids)
-    else:  # single comparisons can use the files' Bloom filters
-        wanted = reduce(or_, [F.col("id") == i for i in ids], F.lit(False))
-    found = best.sparkSession.createDataFrame(rows, best.schema)
-    return docs.filter(wanted).join(F.broadcast(found), "id")
-
-
 def count_index(
     index: Index,
     fact: DataFrame,

@@ -11,7 +11,6 @@ from parley.functions.topn import first_n
 from parley.operators.clean import first_user_message
 
 FEATURES = ("word_count", "lexical_diversity", "avg_word_len", "has_code", "has_list")
-PER_BUCKET = 5000
 
 
 def first_messages(raw: DataFrame, language: str = "English") -> DataFrame:
@@ -27,12 +26,14 @@ def first_messages(raw: DataFrame, language: str = "English") -> DataFrame:
     )
 
 
-def stratified_first_n(
-    messages: DataFrame, order: str = "id", n: int = PER_BUCKET
-) -> DataFrame:
+def bucketed(messages: DataFrame) -> DataFrame:
+    """All messages, with the bucket of their model in its place."""
+    return messages.withColumn("model", model_bucket(F.col("model")))
+
+
+def stratified_first_n(messages: DataFrame, n: int, order: str = "id") -> DataFrame:
     """The first ``n`` messages of each model bucket in record order."""
-    bucketed = messages.withColumn("model", model_bucket(F.col("model")))
-    return first_n(bucketed, by=["model"], order=order, n=n)
+    return first_n(bucketed(messages), by=["model"], order=order, n=n)
 
 
 def with_style(messages: DataFrame, text: str = "text") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions.filters import usable_text
-from parley.functions.small import bounded, member_of
+from parley.functions.small import member_of
 from parley.functions.text import clean_label
 from parley.functions.topics import DEFAULT_TOPIC
 from parley.functions.topn import first_n
@@ -150,19 +150,14 @@ def cluster_keywords(
     pattern: str = LETTERS,
     stop_words: Iterable[str] = (),
     vocabulary: int = VOCABULARY,
-    docs_per_cluster: int | None = None,
     cluster: str = "cluster_id",
     text: str = "search_text",
-    order: str = "id",
 ) -> DataFrame:
     """Most frequent words of each cluster as ``(cluster_id, term, count, position)``.
 
-    Only the ``vocabulary`` words most frequent over all clusters count. ``docs_per_cluster``
-    restricts the words to the first documents of each cluster; None reads all of them. Counting
-    is by (cluster, word), so a large cluster is spread over its words.
+    Only the ``vocabulary`` words most frequent over all clusters count. Counting is by (cluster,
+    word), so a large cluster is spread over its words.
     """
-    if docs_per_cluster is not None:
-        docs = first_n(docs, [cluster], order, docs_per_cluster)
     counts = (
         docs.select(
             F.col(cluster).alias("cluster_id"),
@@ -232,7 +227,7 @@ def external_labels(
                     answers.append("_".join(list(keywords)[:2]))
             yield pd.DataFrame({"cluster_id": part["cluster_id"], "answer": answers})
 
-    asked = lists.join(bounded(samples), "cluster_id").select("cluster_id", "keywords", "samples")
+    asked = lists.join(samples, "cluster_id").select("cluster_id", "keywords", "samples")
     schema = f"cluster_id {dict(lists.dtypes)['cluster_id']}, answer string"
     label = clean_label(F.col("answer"))
     blank = F.coalesce(label, F.lit("")).isin("") | F.contains(label, F.lit("None"))
@@ -399,7 +394,7 @@ def topic_updates(
     assignments: DataFrame, labels: DataFrame, order: str, default: str = DEFAULT_TOPIC
 ) -> DataFrame:
     """``(id, new_topic)`` from cluster assignments and cluster labels, one row per id."""
-    labelled = assignments.join(bounded(labels), "cluster_id", "left").select(
+    labelled = assignments.join(labels, "cluster_id", "left").select(
         "id", F.col(order), F.coalesce("label", F.lit(default)).alias("new_topic")
     )
     return dedup_keep_last(labelled, "id", order).select("id", "new_topic")

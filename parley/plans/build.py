@@ -11,6 +11,7 @@ from parley.operators.clean import clean_records
 from parley.operators.search import build_index, read_index, write_index
 from parley.operators.summary import dataset_summary
 from parley.operators.topics import (
+    CHAT_STOP_WORDS,
     CLUSTERS,
     DIMENSIONS,
     apply_topics,
@@ -39,7 +40,6 @@ def build_topics(
     stop_words: Sequence[str],
     clusters: int = CLUSTERS,
     dimensions: int = DIMENSIONS,
-    docs_per_cluster: int | None = None,
     embed: Callable[[DataFrame], DataFrame] = hashed_embeddings,
     source: str = "fact",
     target: str = "fact_topics",
@@ -62,7 +62,7 @@ def build_topics(
     write_table(assigned, f"{path}/clusters")
     assigned = spark.read.parquet(f"{path}/clusters")
     keywords = cluster_keywords(
-        docs.join(assigned, "id"), stop_words=stop_words, docs_per_cluster=docs_per_cluster
+        docs.join(assigned, "id"), stop_words=[*stop_words, *CHAT_STOP_WORDS]
     )
     labels = cluster_labels(keyword_lists(keywords))
     write_table(labels, f"{path}/labels")

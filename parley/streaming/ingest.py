@@ -56,9 +56,12 @@ def progress(query: StreamingQuery) -> dict[str, float]:
     }
 
 
-def finish(query: StreamingQuery, seconds: int = 600) -> StreamingQuery:
-    """Wait for a query over the available input; raises if it does not end in time."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: int | None = None) -> StreamingQuery:
+    """Wait for a query over the available input, however long that takes; with ``seconds`` raise if
+    it does not end in time."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream still running after {seconds} s")
     return query

@@ -70,9 +70,9 @@ def test_shared_path_follows_the_session(spark):
     settings = {"spark.checkpoint.dir": "hdfs://shared/folder/"}
     cluster = SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master="yarn"))
     assert shared_path(cluster, "x").startswith("hdfs://shared/folder/x-")
-    settings.clear()
-    with pytest.raises(ValueError):
-        shared_path(cluster, "x")
+    del settings["spark.checkpoint.dir"]
+    settings["spark.sql.warehouse.dir"] = "hdfs://warehouse"
+    assert shared_path(cluster, "x").startswith("hdfs://warehouse/scratch/x-")
 
 
 @pytest.mark.parametrize("bad", ["nothing"])
