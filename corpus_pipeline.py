@@ -30,11 +30,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 400 bytes that occur twice or more go, at all their places. What a cut leaves of
     a character goes too. Documents of which nothing is left go."""
-    found = suffixes.remove_repeats(docs.withColumnRenamed("repeats", "__repeats"))
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    found = suffixes.remove_repeats(rows)
     text = F.when(F.size("repeats.spans") == 0, F.col("text")).otherwise(suffixes.whole_characters(F.col("repeats.kept")))
     found = found.withColumn("text", F.when(F.col("text").isNotNull(), text))
     found = found.filter((F.length("text") > 0) | (F.col("repeats.n_removed") == 0))
-    return _sized(found.drop("repeats").withColumnRenamed("__repeats", "repeats").select(*docs.columns))
+    return _sized(found.select(*[F.col("text" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns]))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -152,16 +152,16 @@ def find_items(
     """
     spark = docs.sparkSession
     small_batches(spark)
-    out, found = docs.drop("items"), []
+    row = F.struct(*docs.drop("items").columns)
+    out, found = docs.select(row.alias("__row"), F.col(text).alias("__text")), []
     for n, block in enumerate(item_blocks(items, item_id, item_text, block_bytes)):
         search = _search(spark.sparkContext.broadcast(ItemIndex(block)), containment)
         found.append(f"__items_{n}")
-        out = out.withColumn(found[-1], search(F.col(text)))
-    return out.withColumn("items", F.concat(*found)).drop(*found)
+        out = out.withColumn(found[-1], search("__text"))
+    return out.select("__row.*", F.concat(*found).alias("items"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents that contain no item, with the columns of ``docs``."""
-    found = find_items(docs.withColumnRenamed("items", "__items"), items, text, **options)
-    clean = found.filter(F.size("items") == 0).drop("items").withColumnRenamed("__items", "items")
-    return clean.select(*docs.columns)
+    rows = docs.select(F.col(text).alias("text"), F.struct(*docs.columns).alias("row"))
+    return find_items(rows, items, **options).filter(F.size("items") == 0).select("row.*")

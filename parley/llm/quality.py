@@ -64,8 +64,12 @@ def assess(docs: DataFrame, text: str = "text", max_loss: float = MAX_LOSS) -> D
     """
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.split(t, "\n", -1)
-    out = docs.drop("quality").withColumns(
-        {"__words": F.array_remove(F.split(t, SPACES, -1), ""), "__lines": lines}
+    # The input's columns travel in a struct, so that no name of theirs can clash with one here.
+    out = docs.select(
+        F.struct(*docs.drop("quality").columns).alias("__row"),
+        F.array_remove(F.split(t, SPACES, -1), "").alias("__words"),
+        lines.alias("__lines"),
+        F.length(F.regexp_replace(t, SYMBOLS, "")).cast("bigint").alias("__symbols"),
     )
     out = out.withColumn(
         "__grams",
@@ -117,7 +121,7 @@ def assess(docs: DataFrame, text: str = "text", max_loss: float = MAX_LOSS) -> D
     quality = F.struct(
         F.col("__n").alias("n_words"),
         F.col("__chars").alias("word_chars"),
-        F.length(F.regexp_replace(t, SYMBOLS, "")).cast("bigint").alias("n_symbols"),
+        F.col("__symbols").alias("n_symbols"),
         F.col("__dup").alias("n_dup_lines"),
         F.col("__repeat").alias("n_repeat_words"),
         base_failed.alias("base_failed"),
@@ -125,14 +129,13 @@ def assess(docs: DataFrame, text: str = "text", max_loss: float = MAX_LOSS) -> D
         (~base_failed & (F.col("__lost") <= max_loss * F.col("__chars"))).alias("kept"),
         F.col("__cleaned").alias("cleaned"),
     )
-    return out.select(*docs.drop("quality").columns, quality.alias("quality"))
+    return out.select("__row.*", quality.alias("quality"))
 
 
 def clean(docs: DataFrame, text: str = "text", max_loss: float = MAX_LOSS) -> DataFrame:
     """The documents that are kept, with their cleaned text and the columns of ``docs``."""
-    judged = assess(docs.withColumnRenamed("quality", "__quality"), text, max_loss)
+    judged = assess(docs.select(F.col(text).alias("text"), F.struct(*docs.columns).alias("row")), max_loss=max_loss)
     # A filter on what explode() gives stays above it. Below, the optimizer would write the whole
     # assessment into the condition, once for each place that uses it.
     judged = judged.withColumn("quality", F.explode(F.array("quality"))).filter("quality.kept")
-    out = judged.withColumn(text, F.col("quality.cleaned")).drop("quality")
-    return out.withColumnRenamed("__quality", "quality").select(*docs.columns)
+    return judged.select(*[F.col("quality.cleaned" if c == text else f"row.`{c}`").alias(c) for c in docs.columns])

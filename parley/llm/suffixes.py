@@ -370,6 +370,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
         found = found.union(single)
     marks = contexts.select("context", "doc").join(found, "context")
     marks = marks.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct("context", "ranges")).alias("__marks"))
-    rows = docs.drop("repeats")
-    rows = rows.join(marks, F.xxhash64(rows[id]) == F.col("__doc"), "left").drop("__doc")
-    return rows.withColumn("repeats", _removal(length)(F.col(text), F.col("__marks"))).drop("__marks")
+    row = F.struct(*docs.drop("repeats").columns)
+    rows = docs.select(F.xxhash64(id).alias("__doc"), row.alias("__row"))
+    rows = rows.join(marks, "__doc", "left")
+    return rows.select("__row.*", _removal(length)(F.col("__row")[text], F.col("__marks")).alias("repeats"))

@@ -53,10 +53,8 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     Equal pairs of host and path are judged once, whatever number of rows has them. The rules join
     as an ordinary table: Spark broadcasts them only below its threshold for the size of a side.
     """
-    judged = ["host", "path", "rule", "verdict"]
-    pages = pages.drop(*[c for c in judged if c in pages.columns and c != url])
-    kept = [c for c in pages.columns if c not in judged]
-    rows = pages.withColumns({"__host": host_of(F.col(url)), "__path": path_of(F.col(url))})
+    row = F.struct(*pages.drop("host", "path", "rule", "verdict").columns)
+    rows = pages.select(row.alias("__row"), host_of(F.col(url)).alias("__host"), path_of(F.col(url)).alias("__path"))
     rules = rules.select("verdict", "host", "path").dropna().distinct()
     table = rules.select(
         _digest(F.col("host"), F.col("path")).alias("__digest"),
@@ -90,7 +88,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     )
     out = rows.join(best, ["__host", "__path"], "left")
     return out.select(
-        *[F.col(c) for c in kept],
+        "__row.*",
         F.col("__host").alias("host"),
         F.col("__path").alias("path"),
         F.col("__fit.rule").alias("rule"),
