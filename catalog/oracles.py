@@ -433,6 +433,15 @@ select term, count(*) as doc_freq from postings group by term""",
 select n as n_docs, round(mean_length, 6) as mean_length from stats""",
     "clean_records": CLEAN_RESULT,
     "stream_ingest": CLEAN_RESULT,
+    "fact_written": CLEAN_RESULT,
+    "pca": """select cast(c as integer) as component, n, 0.0 as mean, true as ordered, true as uncorrelated
+from (select count(*) as n from embeddings), (select unnest(range(5)) as c)""",
+    "kmeans": "select vec_id, true as nearest, true as known from embeddings",
+    "topic_info_csv": f"""with {CLUSTERED}
+select cast(cluster_id as integer) as topic_id, count(*) as count, concat('a "b", ', min(source)) as name
+from docs group by cluster_id""",
+    "model_docs": """select substr(md5(cast(doc_id as varchar)), 1, 8) as short, md5(replace(text, chr(10), ' ')) as digest
+from documents where length(text) > 10""",
     "resume_skip": f"""with {DOC_FACT}
 select id, model_family, topic from doc_fact where key not in (select doc_id from labels)""",
     "clean_whitespace": r"""select doc_id, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) as digest from documents""",
@@ -590,3 +599,5 @@ select topic, model_family, count(*) as n, max(turn_count) as longest from doc_f
 where search_text like '%ing%' and topic <> 'General / Noise' and turn_count > 3
 group by 1, 2 order by n desc, topic, model_family limit 20""",
 }
+
+ORACLES["conversation_by_id_written"] = ORACLES["conversation_by_id"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import params, views
@@ -265,6 +265,42 @@ def resume_skip(spark, sf):
     return ingest.skip_done(views.doc_fact(spark, sf).select("id", "model_family", "topic"), done)
 
 
+@query
+def fact_written(spark, sf):
+    """Half of the records written, the rest appended, and all read back."""
+    path = shared_path(spark, "fact")
+    fact = clean.clean_records(views.raw(spark, sf))
+    half = F.substring("id", 1, 1) < "8"
+    tables.write_fact(fact.filter(half), path)
+    tables.append_fact(fact.filter(~half), path)
+    return _clean_columns(tables.read_fact(spark, path))
+
+
+@query
+def conversation_by_id_written(spark, sf):
+    """Through the written table, whose files have Bloom filters on the id."""
+    path = shared_path(spark, "fact")
+    tables.write_fact(clean.clean_records(views.raw(spark, sf)), path)
+    found = lookup.conversation_by_id(tables.read_fact(spark, path), _some_id())
+    return found.select("id", F.md5("full_content").alias("digest"))
+
+
+@query
+def topic_info_csv(spark, sf):
+    path = shared_path(spark, "topics")
+    counted = views.clustered_docs(spark, sf).groupBy(F.col("cluster_id").cast("int").alias("topic_id")).agg(
+        F.count(F.lit(1)).alias("count"), F.concat(F.lit('a "b", '), F.min("source")).alias("name")
+    )
+    tables.write_csv(counted, path)
+    return readers.read_topic_info(spark, path)
+
+
+@query
+def model_docs(spark, sf):
+    docs = topics.model_docs(views.doc_fact(spark, sf))
+    return docs.select(tx.short_id(F.col("id")).alias("short"), F.md5(tx.one_line(F.col("search_text"))).alias("digest"))
+
+
 @query
 def clean_whitespace(spark, sf):
     docs = views.documents(spark, sf)
@@ -418,14 +454,31 @@ def normalize_vectors(spark, sf):
 
 @query
 def pca(spark, sf):
-    reduced = topics.pca(views.table(spark, sf, "embeddings"))
-    return reduced.select("vec_id", F.posexplode("reduced").alias("component", "value"))
+    """What holds whatever the signs of the components: centred, uncorrelated with the first, and
+    no more spread than the one before."""
+    reduced = topics.pca(views.table(spark, sf, "embeddings")).select("vec_id", "reduced")
+    rows = reduced.select(F.get("reduced", F.lit(0)).alias("first"), F.posexplode("reduced").alias("component", "value"))
+    facts = rows.groupBy("component").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.abs(F.round(F.avg("value"), 6)).alias("mean"),
+        F.var_samp("value").alias("spread"),
+        F.corr("first", "value").alias("with_first"),
+    )
+    before = Window.orderBy("component")  # a handful of rows
+    return facts.select(
+        "component", "n", "mean",
+        (F.col("spread") <= F.coalesce(F.lag("spread").over(before), F.col("spread"))).alias("ordered"),
+        F.when(F.col("component") == 0, F.abs(F.col("with_first") - 1) < 1e-6)
+        .otherwise(F.abs(F.col("with_first")) < 1e-6).alias("uncorrelated"),
+    )
 
 
 @query
 def kmeans(spark, sf):
-    clustered = topics.cluster_embeddings(views.table(spark, sf, "embeddings"))
-    return clustered.select("vec_id", "cluster_id")
+    reduced = topics.pca(views.table(spark, sf, "embeddings"))
+    clustered, centres = topics.kmeans_with_centres(reduced)
+    known = F.col("cluster_id").between(0, topics.CLUSTERS - 1)
+    return clustered.select("vec_id", topics.is_nearest(centres).alias("nearest"), known.alias("known"))
 
 
 @query

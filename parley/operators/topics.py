@@ -122,11 +122,31 @@ def kmeans(
     df: DataFrame, k: int = CLUSTERS, seed: int = SEED, column: str = "reduced", max_iter: int = 20
 ) -> DataFrame:
     """Adds ``cluster_id``; every row takes part in the fit and gets a cluster."""
+    return kmeans_with_centres(df, k, seed, column, max_iter)[0]
+
+
+def kmeans_with_centres(
+    df: DataFrame, k: int = CLUSTERS, seed: int = SEED, column: str = "reduced", max_iter: int = 20
+) -> tuple[DataFrame, list[list[float]]]:
+    """As ``kmeans``, and the centres by cluster id."""
     vectors = df.withColumn("_features", array_to_vector(F.col(column)))
     model = KMeans(
         k=k, seed=seed, maxIter=max_iter, featuresCol="_features", predictionCol="cluster_id"
     ).fit(vectors.select("_features"))
-    return model.transform(vectors).drop("_features")
+    centres = [[float(x) for x in c] for c in model.clusterCenters()]
+    return model.transform(vectors).drop("_features"), centres
+
+
+def is_nearest(centres: Sequence[Sequence[float]], column: str = "reduced") -> Column:
+    """Whether no centre is closer than that of the row's cluster."""
+    known = F.array(*[F.array(*[F.lit(x) for x in c]) for c in centres])
+
+    def distance(centre: Column) -> Column:
+        squares = F.zip_with(F.col(column), centre, lambda x, y: (x - y) * (x - y))
+        return F.aggregate(squares, F.lit(0.0), lambda s, x: s + x)
+
+    distances = F.transform(known, distance)
+    return F.get(distances, F.col("cluster_id")) <= F.array_min(distances) + 1e-9
 
 
 def cluster_embeddings(
@@ -337,17 +357,19 @@ def topic_terms(
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     # One row per topic and term here, so a term has at most as many rows as there are topics.
-    same_term = Window.partitionBy("term")
-    kept = counts.withColumns(
-        {"f": F.sum("tf").over(same_term), "topics": F.count(F.lit(1)).over(same_term)}
-    ).filter(F.col("topics") >= min_topics)
+    totals = counts.groupBy("term").agg(F.sum("tf").alias("f"), F.count(F.lit(1)).alias("topics"))
+    kept = counts
+    if min_topics > 1:
+        totals = totals.filter(F.col("topics") >= min_topics)
+        kept = counts.join(totals.select("term"), "term", "left_semi")
     sizes = kept.groupBy("topic_id").agg(F.sum("tf").alias("size"))
     mean_size = sizes.agg(F.floor(F.avg("size")).alias("a"))
     # The size is the same for all terms of a topic, so ranking needs only the rest of the weight;
     # sizes are joined to the few rows that remain.
     position = Window.partitionBy("topic_id").orderBy(F.desc("_score"), "term")
     best = (
-        kept.crossJoin(F.broadcast(mean_size))  # one row
+        counts.join(totals.select("term", "f"), "term")
+        .crossJoin(F.broadcast(mean_size))  # one row
         .select("topic_id", "term", (F.col("tf") * F.log(1 + F.col("a") / F.col("f"))).alias("_score"))
         .withColumn("position", F.row_number().over(position))
         .filter(F.col("position") <= top)

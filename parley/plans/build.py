@@ -57,7 +57,7 @@ def build_topics(
     else:
         docs_to_embed = docs
     add_embeddings(embed(docs_to_embed), cache)
-    vectors = dedup_keep_last(spark.read.parquet(cache), "id", "embedding")
+    vectors = dedup_keep_last(spark.read.parquet(cache), "id", "written")
     assigned = cluster_embeddings(vectors, clusters, dimensions).select("id", "cluster_id")
     write_table(assigned, f"{path}/clusters")
     assigned = spark.read.parquet(f"{path}/clusters")
@@ -102,10 +102,5 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

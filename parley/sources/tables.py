@@ -53,8 +53,9 @@ def write_csv(df: DataFrame, path: str, append: bool = False) -> None:
 
 
 def add_embeddings(embeddings: DataFrame, path: str) -> None:
-    """Grow the embedding cache, keyed by id."""
-    embeddings.write.mode("append").parquet(path)
+    """Grow the embedding cache, keyed by id; ``written`` tells later vectors from earlier ones."""
+    stamped = embeddings.withColumn("written", F.current_timestamp())
+    stamped.write.mode("append").parquet(path)
 
 
 def json_records(df: DataFrame) -> DataFrame:
