@@ -6,6 +6,7 @@ import hashlib
 
 from catalog import params
 from parley.functions.models import MODELS as MODEL_TABLE
+from parley.functions.stem import rewrites
 from parley.functions.topics import TOPIC_KEYWORDS
 
 
@@ -162,8 +163,32 @@ scores as (
   from postings join freq using (term), stats group by id)"""
 
 
-def _search(where: str, limit: int) -> str:
-    return f"""with {BM25}
+def _stem(word: str) -> str:
+    """The stemmer's replacements, one inside the other."""
+    inner = word
+    for pattern, new in rewrites():
+        new = new.replace("$1", "\\1")
+        inner = f"regexp_replace({inner}, '{pattern}', '{new}')"
+    return f"case when length({word}) < 3 then {word} else {inner} end"
+
+
+STEMMED_BM25 = BM25.replace(
+    "postings as (",
+    f"""vocabulary as (
+  select term, {_stem("term")} as stem
+  from (select distinct unnest(t) as term from tokens union select unnest([{TERMS}]))),
+wanted as (select distinct stem from vocabulary where term in ({TERMS})),
+spelled as (""",
+).replace(
+    "freq as (select term, count(*) as df from postings where term in",
+    f"""postings as (
+  select stem as term, id, length, sum(tf) as tf from spelled join vocabulary using (term) group by all),
+freq as (select term, count(*) as df from postings where term in (from wanted) and '' not in""",
+)
+
+
+def _search(where: str, limit: int, bm25: str = "") -> str:
+    return f"""with {bm25 or BM25}
 select id, model_family, topic, turn_count, round(score, 6) as score, substr(search_text, 1, 200) as snippet
 from doc_fact join scores using (id)
 where topic <> 'General / Noise' {where}
@@ -421,6 +446,11 @@ order by timestamp desc nulls last, id limit 10""",
         "and topic = 'Coding & Debugging' and model_family = 'gpt-4o' and turn_count >= 2", 20
     ),
     "search_bm25_index": _search("", 50),
+    "search_bm25_stemmed": _search("", 50, STEMMED_BM25),
+    "search_stems": _search("", 50, STEMMED_BM25),
+    "count_bm25_stemmed": f"""with {STEMMED_BM25}
+select count(*) as matches from doc_fact
+where topic <> 'General / Noise' and model_family = 'gpt-4o' and id in (select id from scores)""",
     "count_bm25": f"""with {BM25}
 select count(*) as matches from doc_fact
 where topic <> 'General / Noise' and model_family = 'gpt-4o' and id in (select id from scores)""",

@@ -201,6 +201,22 @@ def search_bm25_stemmed(spark, sf):
     return _rounded(found, "score")
 
 
+@query
+def search_stems(spark, sf):
+    """Straight from the texts."""
+    found = search.search(
+        views.doc_fact(spark, sf), params.SEARCH_QUERY, limit=50, stop_words=params.STOP_WORDS, stems=True
+    )
+    return _rounded(found, "score")
+
+
+@query
+def count_bm25_stemmed(spark, sf):
+    return search.count_matches(
+        views.doc_fact(spark, sf), params.SEARCH_QUERY, model="gpt-4o", stop_words=params.STOP_WORDS, stems=True
+    )
+
+
 @query
 def count_bm25(spark, sf):
     return search.count_matches(

@@ -1,13 +1,16 @@
 """Porter's suffix stripping (M. F. Porter, "An algorithm for suffix stripping", 1980).
 
-Applied to distinct vocabulary only, never to running text.
+``porter_stem`` is for the few words of a query. ``stem`` does the same on a column, as a chain of
+replacements in which each step sees the last one's result once, so nothing leaves the JVM. It is
+meant for distinct vocabulary, or for the few tokens that could have a wanted stem.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Suffix and replacement, as listed in the paper.
 STEP_2 = (
@@ -109,6 +112,60 @@ def porter_stem(word: str) -> str:
     return word
 
 
-@F.pandas_udf(StringType())
-def stem_term(terms: pd.Series) -> pd.Series:
-    return terms.map(porter_stem, na_action="ignore")
+# ---- the same as replacements ----
+
+# A run of consonants and one of vowels: y is a vowel after a consonant. A y at the very start is
+# written Y meanwhile, as it is none.
+_C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+_ONE = f"(?:{_C})?{_V}[^aeiou]"  # a start of measure 1 or more
+_TWO = f"(?:{_C})?{_V}{_C}{_V}"  # of measure 2 or more, if a consonant follows
+_VOWEL = f"(?:{_C})?[aeiouy]"
+_CVC = f"{_C}[aeiouy][^aeiouwxy]"
+
+
+def _suffix_step(table) -> list[tuple[str, str]]:
+    """The longest suffix is marked, kept as a candidate where the measure allows, and replaced."""
+    suffixes = "|".join(s for s, _ in table)
+    return [
+        (f"({suffixes})$", "#$1"),
+        (f"^({_ONE}.*)#", "$1%"),
+        *((f"%{s}$", new) for s, new in table),
+        ("#", ""),
+    ]
+
+
+def rewrites() -> list[tuple[str, str]]:
+    """Patterns and replacements, in Java's syntax and without look-around or back references."""
+    dropped = "|".join(s for s in STEP_4 if s != "ion")
+    return [
+        ("^y", "Y"),
+        ("(ss|i)es$", "$1"),
+        ("([^s])s$", "$1"),
+        (f"^({_ONE}.*)eed$", "$1ee"),
+        (f"^({_VOWEL}.*[^e]|(?:{_C})?[aiouy])ed$", "$1@"),
+        (f"^({_VOWEL}.*)ing$", "$1@"),
+        ("(at|bl|iz)@$", "$1e"),
+        *((f"{c}{c}@$", c) for c in "bcdfghjkmnpqrtvwxY"),
+        ("([^aeiouy])yy@$", "$1y"),
+        (f"^({_CVC})@$", "$1e"),
+        ("@", ""),
+        (f"^({_VOWEL}.*)y$", "$1i"),
+        *_suffix_step(STEP_2),
+        *_suffix_step(STEP_3),
+        (f"({'|'.join(STEP_4)})$", "#$1"),
+        (f"^({_TWO}[^aeiou].*)#(?:{dropped})$", "$1"),
+        (f"^({_TWO}(?:[st]|[^aeiou].*[st]))#ion$", "$1"),
+        ("#", ""),
+        (f"^({_TWO}[^aeiou].*)e$", "$1"),
+        (f"^({_CVC})e$", "$1e!"),
+        (f"^((?:{_C})?{_V}{_C}(?:{_V})?)e$", "$1"),
+        ("!", ""),
+        (f"^({_TWO}(?:l|[^aeiou].*l))l$", "$1"),
+        ("Y", "y"),
+    ]
+
+
+def stem(word: Column) -> Column:
+    """Stem of a column of lower-case words; words of one or two letters stay."""
+    steps = reduce(lambda c, r: F.regexp_replace(c, F.lit(r[0]), F.lit(r[1])), rewrites(), word)
+    return F.when(F.length(word) < 3, word).otherwise(steps)

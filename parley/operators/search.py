@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.functions.filters import build_filters
-from parley.functions.stem import porter_stem, stem_term
+from parley.functions.stem import porter_stem, stem
 from parley.functions.text import snippet
 from parley.functions.tokens import is_token, normalize, query_terms, split_tokens, tokens
 
@@ -36,6 +38,24 @@ def _saturation(tf: Column, length: Column, mean_length: Column) -> Column:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
 
 
+def _wanted(query: str, stop_words: Iterable[str], stems: bool) -> list[str]:
+    terms = query_terms(query, stop_words)
+    return sorted({porter_stem(t) for t in terms}) if stems else terms
+
+
+def _opening(root: str) -> str:
+    """What a stem shares with all its spellings: they differ at the very end only."""
+    return root[: max(1, len(root) - 2)]
+
+
+def _as_term(token: Column, terms: Sequence[str], stems: bool) -> Column:
+    """The token, or its stem if that could be one of the terms; few tokens get as far as that."""
+    if not stems:
+        return token
+    near = reduce(or_, [token.startswith(_opening(t)) for t in terms], F.lit(False))
+    return F.when(near, stem(token)).otherwise(F.lit(""))
+
+
 def _may_contain(text: Column, terms: Sequence[str]) -> Column:
     """Cheap test before tokenizing: a token is also a substring of the normalized text."""
     normalized = normalize(text)
@@ -56,18 +76,22 @@ def search(
     min_turns: int | None = None,
     limit: int = 5,
     stop_words: Iterable[str] = (),
+    stems: bool = False,
 ) -> DataFrame:
     """Best matches for any of the query's terms among the rows that pass the filters.
 
+    With ``stems``, words match by their stems.
+
     Corpus statistics cover the whole table; the filters apply to the scored rows only. The texts
     are read once: words are counted per row before anything moves, and both the statistics and
     the scores read the resulting one short row per conversation.
     """
-    terms = query_terms(query, stop_words)
+    terms = _wanted(query, stop_words, stems)
     columns = ["id", "model_family", "topic", "turn_count"]
     text = F.col("search_text")
     # The preview travels only with rows that may match.
-    preview = F.when(_may_contain(text, terms), snippet(text, SNIPPET))
+    parts = [_opening(t) for t in terms] if stems else terms
+    preview = F.when(_may_contain(text, parts), snippet(text, SNIPPET))
     # A projection of its own, as what stands beside an explode is evaluated per exploded row. The
     # outer form, as the inner one adds a test for empty arrays that splits every text once more.
     # The row's number keeps equal rows apart.
@@ -78,7 +102,8 @@ def search(
     words = rows.select("_row", *columns, "snippet", F.explode_outer("_tokens").alias("term")).filter(
         is_token(F.col("term"), stop_words)
     )
-    counted = [F.count_if(F.col("term") == t).alias(f"_tf{i}") for i, t in enumerate(terms)]
+    words = words.withColumn("_term", _as_term(F.col("term"), terms, stems))
+    counted = [F.count_if(F.col("_term") == t).alias(f"_tf{i}") for i, t in enumerate(terms)]
     per_doc = words.groupBy("_row", *columns, "snippet").agg(F.count(F.lit(1)).alias("_length"), *counted)
     stats = per_doc.agg(
         F.count(F.lit(1)).alias("_n"),
@@ -140,15 +165,18 @@ def count_matches(
     topic: str | None = None,
     model: str | None = None,
     stop_words: Iterable[str] = (),
+    stems: bool = False,
 ) -> DataFrame:
-    """Number of rows that pass the filters and, with a query, hold any of its terms."""
+    """Number of rows that pass the filters and, with a query, hold any of its terms (with
+    ``stems``, any word with the stem of one)."""
     keep = build_filters(models=[model] if model else None, topic=topic)
     rows = fact.filter(keep)
     if query:
-        terms = query_terms(query, stop_words)
+        terms = _wanted(query, stop_words, stems)
         text = F.col("search_text")
-        rows = rows.filter(_may_contain(text, terms)).filter(
-            F.exists(tokens(text, stop_words), lambda t: t.isin(terms))
+        parts = [_opening(t) for t in terms] if stems else terms
+        rows = rows.filter(_may_contain(text, parts)).filter(
+            F.exists(tokens(text, stop_words), lambda t: _as_term(t, terms, stems).isin(terms))
         )
     return rows.agg(F.count(F.lit(1)).alias("matches"))
 
@@ -206,7 +234,7 @@ def _derived(postings: DataFrame, docs: DataFrame, stems: bool) -> Index:
     n_docs = F.count_if(F.col("first") == 0)
     return Index(
         postings=postings,
-        terms=terms.withColumn("stem", stem_term("term") if stems else F.col("term")),
+        terms=terms.withColumn("stem", stem(F.col("term")) if stems else F.col("term")),
         docs=docs,
         stats=postings.agg(
             n_docs.alias("n_docs"), F.try_divide(F.sum("tf"), n_docs).alias("mean_length")
@@ -271,8 +299,8 @@ def _stemmed_hits(index: Index, stems: Sequence[str]) -> tuple[DataFrame, DataFr
     files, cuts down both tables before the exact comparison.
     """
     near = F.lit(False)
-    for stem in stems:
-        near = near | F.col("term").startswith(stem[: max(1, len(stem) - 2)])
+    for wanted in stems:
+        near = near | F.col("term").startswith(_opening(wanted))
     spellings = index.terms.filter(near & F.col("stem").isin(list(stems))).select("term", "stem")
     hits = (
         index.postings.filter(near)

@@ -3,8 +3,9 @@ import re
 import unicodedata
 
 import pytest
+from pyspark.sql import functions as F
 
-from parley.functions.stem import porter_stem
+from parley.functions.stem import porter_stem, stem
 from parley.functions.tokens import english_stop_words, query_terms, tokens
 from parley.operators import search
 
@@ -126,3 +127,28 @@ def test_stems_share_a_prefix_with_the_word():
     for word in (s + e for s in stems for e in ends):
         stem = porter_stem(word)
         assert word.startswith(stem[: max(1, len(stem) - 2)]), (word, stem)
+
+
+def test_stems_of_a_column(spark):
+    words = ["caresses", "ponies", "cats", "feed", "agreed", "plastered", "sing", "hopping", "falling", "filing", "happy",
+             "sky", "relational", "conditional", "vietnamization", "triplicate", "hopeful", "adoption", "action", "probate",
+             "rate", "cease", "controll", "roll", "yy", "y", "yes", "syzygy", "by", "xyyed", "generalizations"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    assert [r[0] for r in df.select(stem(F.col("w"))).collect()] == [porter_stem(w) for w in words]
+
+
+def test_stemmed_search_from_the_texts(spark):
+    texts = [("a", "A cat sat"), ("b", "cats and cats"), ("c", "category"), ("d", "dog")]
+    df = spark.createDataFrame(texts, "id string, search_text string").withColumns(
+        {"model_family": F.lit("m"), "topic": F.lit("t"), "turn_count": F.lit(2)}
+    )
+    assert [r.id for r in search.search(df, "cats", stems=True).collect()] == ["b", "a"]
+    assert [r.id for r in search.search(df, "cats").collect()] == ["b"]
+    assert search.count_matches(df, "cats", stems=True).first().matches == 2
+    twice = df.union(df)
+    assert sorted(r.id for r in search.search(twice, "cats", stems=True, limit=9).collect()) == ["a", "a", "b", "b"]
+
+
+def test_stop_words_follow_the_token_rule(spark):
+    df = spark.createDataFrame([("\u00c9t\u00e9 the The ETE word",)], "t string")
+    assert df.select(tokens(F.col("t"), ["\u00e9t\u00e9", "The"])).first()[0] == ["word"]
