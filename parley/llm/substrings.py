@@ -27,33 +27,28 @@ from parley.llm.words import mix, signed, sliding_min, word_chunks
 LENGTH = 13
 ANCHOR = 4  # words
 SALTS = 1024
+NO_ID = -(1 << 63)  # stands for NULL in joins; no anchor has it
 
 FOLDED = "key long, salt int, id long, known boolean"
 
 
-def fold(keys: np.ndarray, ids: np.ndarray, repeats: bool = False) -> pa.RecordBatch:
-    """A batch's distinct (key, id): the smallest id of each key under salt 0, with ``known`` if
-    there are others; the others under a salt of their own. With ``repeats`` a key is also known if
-    it repeats under one id."""
+def fold(keys: np.ndarray, ids: np.ndarray, repeats: bool = False, few: int = 2) -> pa.RecordBatch:
+    """A batch's distinct (key, id). A key that ``few`` ids or more have is ``known`` as such: its
+    smallest id is under salt 0, the others under salts of their own. All ids of the other keys are
+    under salt 0. With ``repeats`` a key counts as often as it stands there, not once for each id."""
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
-    new_key = np.ones(len(keys), dtype=bool)
-    new_key[1:] = keys[1:] != keys[:-1]
-    new = new_key.copy()
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = keys[1:] != keys[:-1]
+    new = first.copy()
     new[1:] |= ids[1:] != ids[:-1]
-    several = np.zeros(len(keys), dtype=bool)
-    if repeats:
-        several[:-1] = ~new_key[1:]
-        several = several[new]
-        keys, ids, first = keys[new], ids[new], new_key[new]
-    else:
-        keys, ids, first = keys[new], ids[new], new_key[new]
-        several = several[: len(keys)]
-        several[:-1] = ~first[1:]
-    salt = np.where(first, 0, 1 + (mix(ids.astype(np.uint64)) % np.uint64(SALTS)).astype(np.int32))
+    group = np.cumsum(first) - 1
+    sizes = np.bincount(group if repeats else group[new])
+    keys, ids, first, known = keys[new], ids[new], first[new], sizes[group[new]] >= few
+    salted = 1 + (mix(ids.astype(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
+    salt = np.where(first | ~known, 0, salted).astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(signed(keys)), pa.array(salt.astype(np.int32)), pa.array(ids), pa.array(several | ~first)],
-        ["key", "salt", "id", "known"],
+        [pa.array(signed(keys)), pa.array(salt), pa.array(ids), pa.array(known)], ["key", "salt", "id", "known"]
     )
 
 
@@ -173,8 +168,13 @@ def remove_repeats(
     by a 64-bit hash.
     """
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    named = texts.filter(F.col("id").isNotNull())
+    # Both joins below take the same columns of ``rows`` by the same key, which is never NULL, so
+    # that the texts are shuffled once for both.
+    own = F.col(id).cast("long")
+    row = F.struct(*docs.drop("repeats").columns)
+    rows = docs.select(F.coalesce(own, F.lit(NO_ID)).alias("__key"), row.alias("__row"))
+    body = F.col("__row")[text]
+    named = docs.select(own.alias("id"), F.col(text).alias("text")).filter(F.col("id").isNotNull())
     anchors = named.mapInArrow(_anchors(length, anchor), FOLDED)
     by = Window.partitionBy("key", "salt")
     shared = (
@@ -183,19 +183,17 @@ def remove_repeats(
             F.col("known") | F.max("known").over(by) | (F.min("id").over(by) < F.max("id").over(by)),
         )
         .filter("shared")
-        .groupBy("id")
-        .agg(F.collect_set("key").alias("anchors"))
+        .groupBy(F.col("id").alias("__key"))
+        .agg(F.collect_set("key").alias("__anchors"))
     )
-    windows = named.join(shared, "id").select("id", "text", "anchors")
+    windows = rows.join(shared, "__key").select("__key", body.alias("__text"), "__anchors", "__row")
     windows = windows.mapInArrow(_extended(length, anchor), FOLDED)
     repeated = (
         windows.withColumn("again", (F.col("salt") != 0) | (F.min("id").over(by) < F.col("id")))
         .filter("again")
-        .groupBy("id")
-        .agg(F.collect_set("key").alias("windows"))
-        .withColumnRenamed("id", "__id")
+        .groupBy(F.col("id").alias("__key"))
+        .agg(F.collect_set("key").alias("__windows"))
     )
-    rows = docs.drop("repeats")
-    rows = rows.join(repeated, rows[id].cast("long") == F.col("__id"), "left").drop("__id")
     none = F.array().cast("array<bigint>")
-    return rows.withColumn("repeats", _removal(length)(F.col(text), F.coalesce("windows", none))).drop("windows")
+    removal = _removal(length)(body, F.coalesce("__windows", none))
+    return rows.join(repeated, "__key", "left").select("__row.*", removal.alias("repeats"))
