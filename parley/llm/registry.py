@@ -64,7 +64,7 @@ _RULES = rf"""
       regexp_matches(l, '\|[^|]*\|[^|]*\||[»›][^»›]*[»›]')
       or (length(l) <= 200 and regexp_matches(l, '{quality.BOILERPLATE}'))
       or regexp_matches(l, '!!.*!!.*!!')
-      or (not regexp_matches(l, '[.!?;:,…。！？]') and regexp_matches(l, '{quality.MANY_WORDS}'))
+      or (not regexp_matches(l, '[.!?;:,…。！？]') and len(regexp_extract_all(l, '{_WORD}+')) >= {quality.UNPUNCTUATED_FROM})
       or length(regexp_replace(l, '[^#*$%&|<>]+', '', 'g')) * 20 > length(l))"""
 
 #: Also used for the quality stage of the pipeline; {docs} is a table of documents.
@@ -271,3 +271,29 @@ def op10_interval_expansion(spark, sf):
         F.size("repeats.spans").cast("bigint").alias("n_spans"),
         F.sha2("repeats.kept", 256).alias("kept_sha256"),
     )
+
+
+# Bytes as hexadecimal digits, two for each.
+ORACLES["op10_interval_expansion"] = """
+with bytes as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+windows as (
+  select doc_id, i, md5(substr(h, 2 * i + 1, 800)) as w
+  from (select doc_id, h, unnest(range(0, len(h) // 2 - 399)) as i from bytes)),
+repeated as (
+  select doc_id, i from (select doc_id, i, count(*) over (partition by w) as n from windows) where n > 1),
+runs as (
+  select doc_id, i, sum(opens) over (partition by doc_id order by i) as run
+  from (select doc_id, i, cast(coalesce(i > lag(i) over (partition by doc_id order by i) + 400, true) as integer) as opens
+        from repeated)),
+spans as (select doc_id, min(i) as a, max(i) + 400 as b from runs group by doc_id, run),
+parts as (
+  select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as after from spans),
+removed as (
+  select doc_id, sum(b - a) as n_removed, count(*) as n_spans, max(b) as last,
+    string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' order by a) as head
+  from parts join bytes using (doc_id) group by doc_id)
+select doc_id, cast(len(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(case when last is null then h else head || substr(h, 2 * last + 1) end)) as kept_sha256
+from bytes left join removed using (doc_id)"""
