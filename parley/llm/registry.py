@@ -72,9 +72,13 @@ QUALITY_SQL = rf"""
 quality_words as (
   select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_WORD}+') as w
   from {{docs}}),
+quality_grams as (
+  select doc_id, i, word || ' ' || lead(word, 1) over p || ' ' || lead(word, 2) over p || ' '
+    || lead(word, 3) over p || ' ' || lead(word, 4) over p as gram
+  from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from quality_words)
+  window p as (partition by doc_id order by i)),
 quality_starts as (
-  select doc_id, i, count(*) over (partition by doc_id, list_slice(w, i, i + 4)) as n
-  from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from quality_words)),
+  select doc_id, i, count(*) over (partition by doc_id, gram) as n from quality_grams where gram is not null),
 quality_repeats as (
   select doc_id, count(distinct i + k) as n
   from quality_starts, (select unnest(range(5)) as k) where n > 1 group by doc_id),
