@@ -10,6 +10,7 @@ from pyspark.sql.types import ArrayType, StringType
 # Unicode whitespace plus the four ASCII separators U+001C..U+001F, as in Python's ``\s``.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
 FENCE = "```"
+# What counts as a code block.
 FENCED_BLOCK = r"(?s)```(?:python)?\n*(.*?)\n*```"
 UNCLOSED_BLOCK = r"(?sd)^(?:```(?:python)?)?\n?(.*?)\n?(?:```)?$"
 FLAT_OBJECT = r"(?s)\{.*?\}"

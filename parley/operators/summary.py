@@ -34,24 +34,28 @@ def dataset_summary(fact: DataFrame, top: int = 10) -> DataFrame:
     listed = (F.col("kind") == "model") | (
         F.col("name").isNotNull() & ((F.col("kind") != "topic") | (F.col("name") != NOISE_TOPIC))
     )
-    order = Window.partitionBy("kind", "listed").orderBy(F.desc("count"), F.asc_nulls_last("name"))
-    ranked = values.withColumn("listed", listed).withColumn("rank", F.row_number().over(order))
+    # Ranked by themselves, so that each task keeps its first few names of a kind only.
+    order = Window.partitionBy("kind").orderBy(F.desc("count"), F.asc_nulls_last("name"))
+    ranked = values.filter(listed).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
     def top_list(kind: str) -> Column:
-        keep = (F.col("kind") == kind) & F.col("listed") & (F.col("rank") <= top)
+        keep = F.col("kind") == kind
         pairs = F.array_sort(F.collect_list(F.when(keep, F.struct("rank", "name", "count"))))
         shown = F.transform(pairs, lambda p: F.struct(p["name"].alias("name"), p["count"].alias("count")))
         return F.when(F.size(pairs) > 0, F.to_json(shown, {"ignoreNullFields": "false"}))
 
     in_total = F.col("kind") == "model"
-    return ranked.agg(
+    totals = values.agg(
         F.coalesce(F.sum(F.when(in_total, F.col("count"))), F.lit(0)).alias("total_count"),
         F.min(F.when(in_total, F.col("first"))).alias("start_date"),
         F.max(F.when(in_total, F.col("last"))).alias("end_date"),
+    )
+    lists = ranked.agg(
         top_list("model").alias("model_json"),
         top_list("topic").alias("topic_json"),
         top_list("country").alias("country_json"),
     )
+    return totals.crossJoin(F.broadcast(lists))  # one row each
 
 
 def top_values(
