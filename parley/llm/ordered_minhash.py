@@ -8,14 +8,17 @@ and the alignment of both sequences decides: aligned shingles by all shingles of
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.arrow import small_batches
 from parley.llm.components import components
 from parley.llm.store import stored
+from parley.llm.substrings import FOLDED, fold
 from parley.llm.words import Chunk, mix, signed, word_chunks
 
 SHINGLE = 5
@@ -23,6 +26,9 @@ SIMILARITY = 0.8
 KEPT = 2  # shingles in a sample
 ROWS, BANDS = 2, 16  # at similarity 0.8 a sample agrees with 0.64, some band with 0.9998
 
+SIZE_CLASS = 1.05
+FREQUENT = 8  # documents that have a shingle which is no longer rare
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64))
 
@@ -171,10 +177,57 @@ def _verify(least: float):
     return verify
 
 
+def _profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's different shingles, folded by batch."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy()
+        keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for chunk in word_chunks(batch.column(1), lower=True):
+            shingles, bounds = shingle_sequence(chunk)
+            keys.append(shingles)
+            owners.append(np.repeat(ids[chunk.first_row : chunk.first_row + chunk.rows], np.diff(bounds)))
+        yield fold(np.concatenate(keys), np.concatenate(owners), few=FREQUENT)
+
+
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """One text for each of the ids."""
+    return texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
+
+
+def profiles(ids: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """What the shingles of these texts allow.
+
+    First ``id``, ``n`` (its different shingles), ``common`` (those that another of these texts has
+    too) and ``often`` (those that ``FREQUENT`` of them have), for the ids that can have a partner
+    at all: it shares ``least`` of the shingles. Then the rare shared shingles (``key``, ``id``).
+    """
+    rows = _texts_of(ids, texts).select("id", "text").mapInArrow(_profiled, FOLDED)
+    by = Window.partitionBy("key", "salt")
+    many = F.col("known") | F.max("known").over(by) | (F.count("*").over(by) >= FREQUENT)
+    rows = rows.select("key", "id", many.alias("many"), (F.count("*").over(by) > 1).alias("two"))
+    rows = stored(rows.withColumn("two", F.col("two") | F.col("many")), "shingles")
+    found = rows.groupBy("id").agg(
+        F.count("*").alias("n"), F.count_if("two").alias("common"), F.count_if("many").alias("often")
+    )
+    able = stored(found.filter(F.col("common") >= least * F.col("n") - 1e-9), "profiles")
+    rare = rows.filter(F.col("two") & ~F.col("many")).select("key", "id")
+    return able, rare
+
+
+def _possible(x: str, y: str, least: float, shared: str = "common") -> Column:
+    """Whether two texts have enough shared shingles to be similar, whichever these are."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    return F.least(f"{x}{shared}", f"{y}{shared}") >= least / (1 + least) * (n + m) - 1e-9
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n) / np.log(SIZE_CLASS)).cast("int")
+
+
 def _links(pairs: DataFrame, texts: DataFrame, least: float, name: str) -> DataFrame:
     """The pairs ``a``, ``b`` whose texts are similar."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = texts.join(asked, "id", "left_semi")
+    wanted = _texts_of(asked, texts)
     both = pairs.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
     both = both.join(wanted.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
     return stored(both.filter(_verify(least)("left", "right") > 0).select("a", "b"), name)
@@ -185,47 +238,77 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", lea
 
     Two documents are linked if their sequences of different five-word shingles (words between white
     space, A-Z lower-cased; in order of first occurrence) align to at least ``least``: aligned
-    shingles by the shingles of both without counting aligned ones twice. A class is what links connect. Documents with the same words are
-    one class without further ado; those with fewer than five words are alike only then, and all
-    without words (NULL, empty) are one class. Rows with a NULL id are not compared: their class is
-    NULL. Rows with the same id are taken as one document. An empty table gives no rows.
-
-    Copies are folded first: only one document of equal words goes on. Candidates come in two steps
-    without pairing off whole buckets. First each document meets a leader of each of its buckets,
-    another one in each band. Then, in buckets that still hold several classes, the documents
-    outside the bucket's largest class meet the documents of other classes there. So every two
-    documents with a common bucket are compared or known to be of one class, and a bucket of one
-    large group costs no more than its size.
+    shingles by the shingles of both without counting aligned ones twice. A class is what links
+    connect. Documents with the same words are one class without further ado; those with fewer than
+    five words are alike only then, and all without words (NULL, empty) are one class. Ids are whole
+    numbers. Rows with a NULL id are not compared: their class is NULL. Rows with the same id are
+    taken as one document: if their texts differ, it is open which of them is aligned with others.
+    An empty table gives no rows.
+
+    Copies are folded first: only one document of equal words goes on. Then every two documents with
+    a common bucket are compared, known to be of one class, or known to be too different, without
+    pairing off whole buckets:
+
+    * Shingles that no other candidate has cannot be aligned. A document with too many of them for
+      any partner goes; and two documents need enough others for the size of both.
+    * Each document meets a leader of each of its buckets, the one with the smallest share of such
+      shingles: of many near copies of one text, the one most like that text.
+    * Two documents of different classes that share a rare shingle meet.
+    * Two that share none have only frequent ones in common. In buckets that still hold several
+      classes, the documents outside the largest class meet those of other classes for which
+      their frequent shingles are enough.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     marked = F.arrow_udf(sketch_rows, "struct<high:bigint,low:bigint,bands:array<bigint>>")
     sketches = stored(texts.filter(F.col("id").isNotNull()).select("id", marked("text").alias("s")).select("id", "s.*"), "sketches")
-    heads = sketches.groupBy("high", "low").agg(F.min("id").alias("head"))
-    heads = stored(heads, "heads")
+    heads = stored(sketches.groupBy("high", "low").agg(F.min("id").alias("head")), "heads")
     own = sketches.join(heads, ["high", "low"]).filter(F.col("id") == F.col("head"))
     own = own.select("id", F.explode("bands").alias("bucket")).distinct()
-    lead = own.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", "bucket"), "id"))["id"].alias("leader"), F.count("*").alias("n"))
-    shared = stored(own.join(lead.filter(F.col("n") > 1), "bucket").select("bucket", "id", "leader"), "buckets")
+    several = own.groupBy("bucket").count().filter(F.col("count") > 1).select("bucket")
+    own = stored(own.join(several, "bucket").select("bucket", "id"), "buckets")
+    able, rare = profiles(own.select("id").distinct(), texts, least)
+    own = own.join(able, "id")
+    order = F.struct(-F.col("common") / F.col("n"), F.xxhash64("id"), "id", "n", "common")
+    lead = own.groupBy("bucket").agg(F.min(order).alias("l"), F.count("*").alias("size")).filter(F.col("size") > 1)
+    lead = lead.select("bucket", F.col("l.id").alias("leader"), F.col("l.n").alias("ln"), F.col("l.common").alias("lcommon"))
+    shared = stored(own.join(lead, "bucket"), "shared")
 
     def ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
         pairs = pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
         return pairs.filter(F.col("a") < F.col("b")).distinct()
 
-    first = stored(ordered(shared, "id", "leader"), "pairs")
+    first = stored(ordered(shared.filter(_possible("", "l", least)), "id", "leader"), "pairs")
     links = _links(first, texts, least, "links")
     found = components(links)
 
-    rows = shared.select("bucket", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
-    rows = rows.select("bucket", "id", F.coalesce("component", "id").alias("class"))
+    named = found.withColumnRenamed("node", "id")
+    known = able.join(named, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
+    known = stored(known, "classes")
+    rows = shared.select("bucket", "id").join(known, "id")
     sizes = rows.groupBy("bucket", "class").count()
-    mixed = sizes.groupBy("bucket").agg(F.max(F.struct("count", "class"))["class"].alias("main"), F.count("*").alias("n"))
-    rows = stored(rows.join(mixed.filter(F.col("n") > 1), "bucket").select("bucket", "id", "class", "main"), "mixed")
-    few = rows.filter(F.col("class") != F.col("main")).select("bucket", F.col("id").alias("x"), F.col("class").alias("cx"))
-    pairs = few.join(rows, "bucket").filter(
-        (F.col("class") != F.col("cx")) & ((F.col("class") == F.col("main")) | (F.col("id") < F.col("x")))
+    mixed = sizes.groupBy("bucket").agg(F.max(F.struct("count", "class"))["class"].alias("main"), F.count("*").alias("classes"))
+    rows = rows.join(mixed.filter(F.col("classes") > 1), "bucket").drop("classes").withColumn("sized", _size_class(F.col("n")))
+    rows = stored(rows, "mixed")
+    # A partner has at least ``least`` of this one's shingles, and few enough besides.
+    low = _size_class(F.greatest(F.lit(1.0), least * F.col("n") - 1))
+    high = _size_class(F.greatest(F.lit(1.0), F.col("often") * ((1 + least) / least) - F.col("n") + 1))
+    few = rows.filter((F.col("class") != F.col("main")) & (low <= high)).select(
+        "bucket", F.col("id").alias("x"), F.col("class").alias("xclass"), F.col("n").alias("xn"),
+        F.col("often").alias("xoften"), F.explode(F.sequence(low, high)).alias("sized"),
+    )
+    pairs = few.join(rows, ["bucket", "sized"]).filter(
+        (F.col("class") != F.col("xclass"))
+        & ((F.col("class") == F.col("main")) | (F.col("id") < F.col("x")))
+        & _possible("", "x", least, "often")
+    )
+    held = rare.join(known, "id")
+    other = held.select("key", *[F.col(c).alias(f"x{c}") for c in known.columns]).withColumnRenamed("xid", "x")
+    close = held.join(other, "key").filter(
+        (F.col("id") < F.col("x")) & (F.col("class") != F.col("xclass")) & _possible("", "x", least)
     )
+    pairs = pairs.select("x", "id").union(close.select("x", "id"))
     second = stored(ordered(pairs, "x", "id").join(first, ["a", "b"], "left_anti"), "pairs")
     if second.isEmpty():
         final = found
@@ -234,7 +317,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", lea
     classes = heads.join(final.withColumnRenamed("node", "head"), "head", "left")
     classes = classes.select("high", "low", F.coalesce("component", "head").alias("class_id"))
     out = sketches.join(classes, ["high", "low"]).select(F.col("id").alias(id), "class_id")
-    unnamed = docs.filter(F.col(id).isNull()).select(id, F.lit(None).cast(docs.schema[id].dataType).alias("class_id"))
+    unnamed = docs.filter(F.col(id).isNull()).select(F.col(id).cast("long").alias(id), F.lit(None).cast("long").alias("class_id"))
     return out.union(unnamed)
 
 
