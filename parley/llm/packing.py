@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from itertools import accumulate, chain
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,10 @@ from parley.llm.words import bytes_of, mix, row_chunks
 LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
 SPREAD = 0.25  # mean signs beyond this are cut off at the border cell
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 
 _BEFORE_SPACE = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+_PLAIN = re.compile(rb"[a-z]+")
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _COMBINING = re.compile(rb"[\xcc\xcd]|<\|")
 
@@ -44,6 +46,12 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
+        # Whether a plain word reaches the model as it is, so that it can be asked directly.
+        model = self.tokenizer.model
+        self.plain = all(
+            self.tokenizer.encode(w, add_special_tokens=False).ids == [t.id for t in model.tokenize(w)]
+            for w in ("a", "the", "tokenizer", "zqxj", "s", "re")
+        )
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -58,9 +66,13 @@ class WordIds:
 
     def learn(self, new: set[bytes]) -> None:
         plain, other = [], []
+        tokenize = self.tokenizer.model.tokenize
         for w in new:
             if w in self.old:
                 self.young[w] = self.old[w]
+            elif self.plain and _PLAIN.fullmatch(w):
+                ids = [t.id for t in tokenize(w.decode())]
+                self.young[w] = pack_ids(f"<{len(ids)}I", *ids)
             elif _LETTERS.fullmatch(w.decode()):
                 plain.append(w)
             else:
