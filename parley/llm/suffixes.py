@@ -29,8 +29,9 @@ LENGTH = 400
 GRAM = 32
 STEP = 16
 SECTION = 1 << 20  # longer texts are cut into sections whose windows start there
-BLOCK_BYTES = 1 << 20
-HOT_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
+HOT_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20  # a task holds several numbers for each byte of a batch
 
 _POSITION = np.uint64((1 << 22) - 1)
 
@@ -276,19 +277,16 @@ def _removal(length: int):
     def remove(texts: pa.Array, lists: pa.Array) -> pa.Array:
         data, offsets = bytes_of(texts)
         known = [{r["context"]: r["ranges"] for r in x.as_py()} if x.is_valid else {} for x in lists]
-        starts = [np.zeros(0, np.int64)]
+        mark = np.zeros(len(data) + 1, dtype=np.int32)
         for row, own, _, base, found in _contexts(texts, length):
             if not any(known[row : row + len(own) - 1]):
                 continue
             for r, first, c in zip(found.row, found.first, found.hash.view(np.int64).tolist(), strict=True):
                 for x in known[row + r].get(c, ()):
                     at = offsets[row + r] + base + first - own[r]
-                    starts.append(np.arange(at + x["first"], at + x["last"] + 1))
-        mark = np.zeros(len(data) + 1, dtype=np.int64)
-        places = np.concatenate(starts)
-        mark[places] += 1
-        mark[places + length] -= 1  # within the row; starts are distinct, but an end can be a start
-        covered = np.cumsum(mark)[:-1] > 0
+                    mark[at + x["first"]] += 1
+                    mark[at + x["last"] + length] -= 1
+        covered = np.cumsum(mark, out=mark)[:-1] > 0
         out = []
         for a, b in zip(offsets, offsets[1:], strict=False):
             own = covered[a:b]
@@ -326,7 +324,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     combined before the shuffle.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     texts = docs.select(F.xxhash64(id).alias("doc"), F.col(text).alias("text"))
     by = Window.partitionBy("key", "salt")
     cores = texts.mapInArrow(_cores(length), FOLDED)
