@@ -293,6 +293,62 @@ def test_probabilities_add_up(monkeypatch):
     assert p.sum() == pytest.approx(1, abs=1e-4)
 
 
+def _many_tokens():
+    """1,024 tokens of the short list, 100 others with counts, and 60 more in four hashed classes."""
+    rng = np.random.default_rng(1)
+    hashes = np.unique(rng.integers(0, 1 << 63, 1184).astype(np.uint64))
+    rng.shuffle(hashes)
+    counts = np.sort(rng.integers(2, 500, 1124))[::-1].copy()
+    frequent, tail = hashes[:1124], hashes[1124:]
+    at = np.argsort(frequent)
+    sizes = np.bincount((tail >> np.uint64(20)).astype(int) & 3, minlength=4)
+    words = maxent.Lexicon(frequent[at], counts[at], at, int(counts.sum()) + 60, 1184, sizes, sizes)
+    return words, frequent, tail
+
+
+def test_context_tells_rare_tokens_apart():
+    words, frequent, tail = _many_tokens()
+    pairs = [*zip(frequent[:80], frequent[1030:1110], strict=True), *zip(frequent[80:84], tail[:4], strict=True)]
+    text = np.array([t for _ in range(60) for pair in pairs for t in pair], dtype=np.uint64)
+
+    def seen(tokens):
+        return maxent.events(tokens, np.array([0, len(tokens)]), words.find(tokens), words)
+
+    trainer = maxent.Trainer(maxent.Model.unigram(words))
+    trainer.learn(seen(text))
+    right = maxent.log_probability(trainer.model, seen(text[:160]))[1::2]
+    swapped = text[:160].copy()
+    swapped[1::2] = np.roll(swapped[1::2], 2)
+    wrong = maxent.log_probability(trainer.model, seen(swapped))[1::2]
+    assert (right > wrong + 0.3).mean() > 0.9
+
+
+def test_probabilities_of_all_tokens_add_up():
+    words, frequent, tail = _many_tokens()
+    rng = np.random.default_rng(2)
+    model = maxent.Model.unigram(words)
+    for w in (model.outer, model.inner, model.branches):
+        w += rng.normal(size=w.shape).astype(np.float32)
+    unknown = np.arange(4, dtype=np.uint64) << np.uint64(20)
+    tokens = np.concatenate([frequent, tail, unknown])
+    texts = np.stack([np.full(len(tokens), frequent[5]), tokens], axis=1).ravel()
+    e = maxent.events(texts, np.arange(0, len(texts) + 1, 2), words.find(texts), words)
+    p = 10 ** maxent.log_probability(model, e)[1::2]
+    shares = np.concatenate([np.ones(1124), np.full(60, 1 + maxent.SMOOTHING), np.full(4, maxent.SMOOTHING)])
+    scales = np.where(np.arange(len(tokens)) < 1124, 1, words.tail_scales[words.tail_class(tokens)])
+    assert (p * shares / scales).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_buckets_grow_with_the_vocabulary():
+    sizes = []
+    for distinct in (1000, 10**6, 10**7, 10**9):
+        n = np.zeros(0, np.int64)
+        words = maxent.Lexicon(n.view(np.uint64), n, n, 10**9, distinct)
+        sizes.append((words.buckets, words.inner_buckets, words.tree_buckets, maxent.tail_classes(distinct)))
+    assert sizes[0] == (maxent.BUCKETS, maxent.INNER_BUCKETS, maxent.TREE_BUCKETS, 1)
+    assert all(a <= b for x, y in zip(sizes, sizes[1:]) for a, b in zip(x, y)) and len(set(sizes)) == 4
+
+
 def test_context_helps(spark):
     rng = random.Random(6)
     rows = []
