@@ -79,10 +79,14 @@ def segment_matrix(roles: list[int]) -> np.ndarray:
 
 
 def states_at_cuts(matrices: list[np.ndarray]) -> tuple[list[int], list[int]]:
-    """The cheapest state before each matrix and after the last, and the turns up to there."""
+    """The cheapest state before each matrix and after the last, and the turns up to there.
+
+    At each cut the least cost is taken off all states (not the turns), so that what is compared
+    stays as small as one segment's, however much the whole conversation costs."""
     costs = [np.array([0, _NEVER, _NEVER, _NEVER], dtype=np.int64)]
     for m in matrices:
-        costs.append(np.minimum((costs[-1][:, None] + m).min(axis=0), _NEVER))
+        after = np.minimum((costs[-1][:, None] + m).min(axis=0), _NEVER)
+        costs.append(np.where(after < _NEVER, after - after.min() // _COST * _COST, _NEVER))
     state = int(np.argmin(np.minimum(costs[-1] + END, _NEVER)))
     states = [state]
     for m, before in zip(reversed(matrices), reversed(costs[:-1]), strict=True):

@@ -170,6 +170,16 @@ def test_repair_is_the_cheapest():
         assert (cost, turns) == _cheapest(roles)
 
 
+def test_costs_of_many_segments():
+    # Same-role turns in segments of 2**16: 2**21 merges in all, more than a cost can hold in one number.
+    same = [chat.segment_matrix([3])]
+    for _ in range(16):
+        same.append(chat.product(same[-1], same[-1]))
+    states, turns = chat.states_at_cuts([chat.segment_matrix([2, 3]), *[same[-1]] * 32, chat.segment_matrix([2, 3, 2])])
+    assert states == [0] + [3] * 33 + [2]
+    assert turns == [0] + [2] * 33 + [5]
+
+
 def test_repaired_conversations_are_legal(spark, monkeypatch):
     monkeypatch.setattr(chat, "SEGMENT_ROWS", 3)
     rng = random.Random(4)
