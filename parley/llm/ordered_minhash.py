@@ -1,8 +1,8 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-A document is its sequence of five-word shingles, each labelled with which of its occurrences it is.
-A sample keeps the ``KEPT`` labelled shingles with the smallest hashes, in the order of the text, so
-two samples agree only where shingles are shared in the same order. Bands of samples give candidates,
+A document is its sequence of different five-word shingles, in order of first occurrence. A sample
+keeps the ``KEPT`` shingles with the smallest hashes, in the order of the sequence, so two samples
+agree only where shingles are shared in the same order. Bands of samples give candidates,
 and the alignment of both sequences decides: aligned shingles by all shingles of the two.
 """
 
@@ -51,33 +51,30 @@ def shingle_sequence(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return grams[whole], np.concatenate([[0], np.cumsum(sizes)])
 
 
-def occurrence_labels(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A hash of each shingle and its number among the equal ones before it in its row."""
+def first_occurrences(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's sequence of different shingles, as ``once`` has it, and the rows' bounds in that."""
     row = np.repeat(np.arange(len(bounds) - 1, dtype=np.uint64), np.diff(bounds))
     own = mix(shingles ^ mix(row * _ODD))
     order = np.argsort(own, kind="stable")
-    same = np.zeros(len(own), dtype=bool)
-    same[1:] = own[order[1:]] == own[order[:-1]]
-    place = np.arange(len(own))
-    first = np.maximum.accumulate(np.where(same, 0, place))
-    nth = np.empty(len(own), dtype=np.uint64)
-    nth[order] = (place - first).astype(np.uint64)
-    return mix(shingles + nth * _ODD)
+    first = np.ones(len(own), dtype=bool)
+    first[order[1:]] = own[order[1:]] != own[order[:-1]]
+    return shingles[first], np.concatenate([[0], np.cumsum(first)])[bounds]
 
 
 def sketch(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """For each row with shingles (in order) its ``BANDS`` band keys."""
     bounds = bounds[np.concatenate([[True], np.diff(bounds) > 0])]
-    firsts, sizes = bounds[:-1], np.diff(bounds)
-    if not len(sizes):
+    if len(bounds) < 2:
         return np.zeros((0, BANDS), dtype=np.uint64)
-    labelled = occurrence_labels(shingles, bounds)
+    shingles, bounds = first_occurrences(shingles, bounds)
+    firsts, sizes = bounds[:-1], np.diff(bounds)
+    own = mix(shingles)
     end = np.uint64(np.iinfo(np.uint64).max)
     bands = []
     for band in range(BANDS):
         key = np.full(len(sizes), np.uint64(band), dtype=np.uint64)
         for sample in range(ROWS):
-            values = mix(labelled + _SALTS[band * ROWS + sample])
+            values = mix(own + _SALTS[band * ROWS + sample])
             places = []
             for _ in range(KEPT):
                 least = np.minimum.reduceat(values, firsts)
@@ -86,7 +83,7 @@ def sketch(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
                 places.append(at)
                 values[at] = end
             for at in np.sort(np.array(places), axis=0):
-                key = mix(key * _ODD + labelled[at])
+                key = mix(key * _ODD + own[at])
         bands.append(key)
     return np.stack(bands, axis=1)
 

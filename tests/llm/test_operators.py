@@ -238,6 +238,16 @@ def test_near_duplicates(documents, corpus):
     assert got == brute.near_duplicate_classes(corpus)
 
 
+def test_near_copies_that_repeat_their_text(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(12):
+        words = " ".join(f"p{i}q{rng.randrange(10**6)}" for _ in range(200))
+        rows += [(2 * i, words), (2 * i + 1, " ".join([words] * 4))]
+    out = ordered_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in out} == {i: i // 2 * 2 for i, _ in rows}
+
+
 def test_one_of_each_class_stays(documents, corpus):
     kept = sorted(r.doc_id for r in ordered_minhash.keep_one(documents).collect())
     assert kept == sorted(set(brute.near_duplicate_classes(corpus).values()))
