@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 400 bytes that occur twice or more go, at all their places. What a cut leaves of
     a character goes too. Documents of which nothing is left go."""
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    rows = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
     found = suffixes.remove_repeats(rows)
     text = F.when(F.size("repeats.spans") == 0, F.col("text")).otherwise(suffixes.whole_characters(F.col("repeats.kept")))
     found = found.withColumn("text", F.when(F.col("text").isNotNull(), text))

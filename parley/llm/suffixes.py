@@ -316,7 +316,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     too, in the same document or in any other; all such places lose it. Strings are judged on the
     input. NULL texts are empty; texts shorter than ``length`` lose nothing. What is removed depends
     on content alone, so NULL or repeated ids and repeated rows need no rule: two equal rows of
-    ``length`` bytes remove each other. Contexts compare by 64-bit hashes, windows within a block
+    ``length`` bytes remove each other. Rows are numbered for that in a written table; ids are not read. Contexts compare by 64-bit hashes, windows within a block
     by their bytes.
 
     What a core with very many different contexts has (over ``HOT_BYTES``, as where a common passage
@@ -325,7 +325,12 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     """
     spark = docs.sparkSession
     small_batches(spark, BATCH_BYTES)
-    texts = docs.select(F.xxhash64(id).alias("doc"), F.col(text).alias("text"))
+    # A row's number is written down once: it stays the same however often the rows are read.
+    rows = stored(
+        docs.select(F.monotonically_increasing_id().alias("__doc"), F.struct(*docs.drop("repeats").columns).alias("__row")),
+        "numbered",
+    )
+    texts = rows.select(F.col("__doc").alias("doc"), F.col("__row")[text].alias("text"))
     by = Window.partitionBy("key", "salt")
     cores = texts.mapInArrow(_cores(length), FOLDED)
     shared = (
@@ -368,7 +373,5 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
         found = found.union(single)
     marks = contexts.select("context", "doc").join(found, "context")
     marks = marks.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct("context", "ranges")).alias("__marks"))
-    row = F.struct(*docs.drop("repeats").columns)
-    rows = docs.select(F.xxhash64(id).alias("__doc"), row.alias("__row"))
     rows = rows.join(marks, "__doc", "left")
     return rows.select("__row.*", _removal(length)(F.col("__row")[text], F.col("__marks")).alias("repeats"))

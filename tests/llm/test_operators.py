@@ -497,6 +497,21 @@ def test_repeated_bytes(documents, corpus, monkeypatch, hot):
         assert (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) == want
 
 
+def test_bytes_of_rows_that_share_an_id(spark):
+    rng = random.Random(3)
+    passage = prose(rng, 150)
+    rows = []
+    for i in [None, None, None, 7, 7, -5]:
+        rows.append((i, f"{prose(rng, rng.randrange(80, 300))} {passage} {prose(rng, rng.randrange(0, 90))}"))
+    rows += [(None, passage), (7, prose(rng, 100)), (None, None), (7, "")]
+    out = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == len(rows)
+    got = sorted((str(r.doc_id), r.text or "", r.repeats.n_removed, bytes(r.repeats.kept)) for r in out)
+    want = brute.repeated_bytes([t for _, t in rows])
+    assert got == sorted((str(i), t or "", w[1], w[3]) for (i, t), w in zip(rows, want, strict=True))
+    assert sum(w[1] > 0 for w in want) == 7
+
+
 def test_sections_of_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "SECTION", 3000)
     text = prose(random.Random(9), 3000)
