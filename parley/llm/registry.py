@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import chat, decontaminate, licenses, maxent, ordered_minhash, packing, quality, substrings, suffixes, urls
+from parley.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    maxent,
+    ordered_minhash,
+    packing,
+    quality,
+    resampling,
+    substrings,
+    suffixes,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -301,3 +313,58 @@ select doc_id, cast(len(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed,
   coalesce(n_spans, 0) as n_spans,
   sha256(unhex(case when last is null then h else head || substr(h, 2 * last + 1) end)) as kept_sha256
 from bytes left join removed using (doc_id)"""
+
+
+# ---- 12: resampling towards a target ----
+
+
+@query
+def op12_target_resampling(spark, sf):
+    ranks = resampling.draw(_table(spark, sf, "documents", "doc_id", "text"), _table(spark, sf, "benchmark", "text"))
+    return ranks.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: The CRC-32 of byte lists, from the rule of its table.
+_CRC_TABLE = """crc_bits(n, k, x) as (
+  select i, 0, i from (select unnest(range(256)) as i)
+  union all
+  select n, k + 1, case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end from crc_bits where k < 8),
+crc_table as (select list(x order by n) as t from crc_bits where k = 8)"""
+
+
+def _crc32_sql(text: str) -> str:
+    codes = f"list_transform(range(strlen({text})), lambda i: cast('0x' || substr(hex(encode({text})), 2 * i + 1, 2) as bigint))"
+    step = "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), {codes}), {step}), 4294967295)"
+
+
+ORACLES["op12_target_resampling"] = rf"""
+with recursive {_CRC_TABLE},
+words as (
+  select kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from (select 'd' as kind, doc_id as id, text from documents union all select 'b', item_id, text from benchmark)),
+counts as (
+  select kind, id, word, count(*) as n from (select kind, id, unnest(w) as word from words) group by all),
+hashed as (select word, {_crc32_sql("word")} % 10000 as bucket from (select distinct word from counts), crc_table),
+buckets as (
+  select bucket, coalesce(sum(n) filter (kind = 'd'), 0)::bigint as s, coalesce(sum(n) filter (kind = 'b'), 0)::bigint as t
+  from counts join hashed using (word) group by bucket),
+totals as (select coalesce(sum(s), 0)::bigint as all_s, coalesce(sum(t), 0)::bigint as all_t from buckets),
+gains as (
+  select bucket, floor(1000 * ln(((t + 1) * (all_s + 10000)) / ((s + 1) * (all_t + 10000))))::bigint as gain
+  from buckets, totals),
+weights as (
+  select id, floor(sum(n * gain)::bigint / sum(n))::bigint as weight
+  from counts join hashed using (word) join gains using (bucket) where kind = 'd' group by id),
+noise as (
+  select id as doc_id, len(w)::bigint as n_features, coalesce(weight, 0) as weight,
+    cast('0x' || left(sha256('2024:' || id), 8) as bigint) as h
+  from words left join weights using (id) where kind = 'd'),
+scores as (
+  select doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::bigint as score from noise),
+ranks as (
+  select doc_id, row_number() over (order by score desc, doc_id) as rank, 10 * count(*) over () // 100 as wanted
+  from scores where n_features >= 20)
+select doc_id, n_features, weight, score, case when rank <= wanted then rank end as rank
+from scores left join ranks using (doc_id)"""
