@@ -18,6 +18,7 @@ from parley.llm import (
     resampling,
     substrings,
     suffixes,
+    topk,
     urls,
 )
 
@@ -368,3 +369,23 @@ ranks as (
   from scores where n_features >= 20)
 select doc_id, n_features, weight, score, case when rank <= wanted then rank end as rank
 from scores left join ranks using (doc_id)"""
+
+
+# ---- 11: exact best inner products ----
+
+
+@query
+def op11_block_pruned_topk(spark, sf):
+    vectors = _table(spark, sf, "embeddings", "vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op11_block_pruned_topk"] = """
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
+  from vectors q join vectors c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+from scores qualify rank <= 5"""
