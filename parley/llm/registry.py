@@ -14,6 +14,7 @@ from parley.llm import (
     maxent,
     ordered_minhash,
     packing,
+    prefix_trie,
     quality,
     resampling,
     substrings,
@@ -389,3 +390,46 @@ scores as (
   from vectors q join vectors c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id)
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
 from scores qualify rank <= 5"""
+
+
+# ---- 13: conversation prefixes ----
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    return prefix_trie.prefix_trie(_table(spark, sf, "conversations", "conv_id", "turn", "role", "text"), every=20)
+
+
+ORACLES["op13_prefix_trie"] = rf"""
+with recursive {_CRC_TABLE},
+numbered as (
+  select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x,
+    row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as p
+  from conversations where conv_id is not null),
+convs as (
+  select c, {_crc32_sql("c::varchar")} % 4 as h from (select distinct c from numbered), crc_table),
+rebuilt as (
+  select c, r, x, row_number() over (partition by c order by own, p) as d
+  from (
+    select v.c, 0 as own, n.p, n.r, n.x from convs v join numbered n on n.c = v.c - v.c % 20 and n.p < v.h
+    union all
+    select c, 1, p, r, x from numbered join convs using (c) where p >= h)),
+paths as (
+  select c, d, x, md5(to_json(list([r, x]) over (partition by c order by d))::varchar) as node from rebuilt
+  union all select c, 0, '', '' from convs),
+nodes as (
+  select node, any_value(d) as d, min(c) as low, count(*) as n, len(regexp_extract_all(any_value(x), '{_WORD}+')) as tokens
+  from paths group by node),
+above as (
+  select distinct a.node, b.node as below, b.d - a.d as down from paths a join paths b on a.c = b.c and a.d <= b.d),
+kids as (select node, count(*) filter (down = 1) as kids from above group by node),
+sums as (
+  select above.node, count(*) filter (kids.kids = 0) as leaves, sum((n - 1) * tokens)::bigint as saved
+  from above join nodes on nodes.node = below join kids on kids.node = below group by above.node),
+parents as (select above.below as node, low as parent from above join nodes on nodes.node = above.node where down = 1),
+ends as (
+  select node, string_agg(c::varchar, ',' order by c) as ids
+  from paths join (select c, max(d) as d from paths group by c) using (c, d) group by node)
+select low as conv_id, d as depth, parent as parent_conv_id, n as n_convs, kids as n_children, leaves as n_leaves,
+  saved as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from nodes join kids using (node) join sums using (node) left join parents using (node) left join ends using (node)"""
