@@ -631,3 +631,38 @@ group by 1, 2 order by n desc, topic, model_family limit 20""",
 }
 
 ORACLES["conversation_by_id_written"] = ORACLES["conversation_by_id"]
+
+_APART = "list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+_LOT = "cast('0x' || left(md5({text}), 8) as bigint)"
+# Starts are drawn one after the other, then batches follow each other; both are recursions.
+ORACLES["minibatch_kmeans"] = f"""
+with recursive dealt as (
+  select i, v, lot % batches as batch, batches
+  from (
+    select vec_id as i, list_transform(embedding, lambda x: cast(x as double)) as v,
+      {_LOT.format(text="'42:' || vec_id")} as lot, greatest(1, cast(ceil(count(*) over () / 256) as bigint)) as batches
+    from embeddings)),
+starts as (
+  select 0 as j, cast([] as double[][]) as centres
+  union all
+  select j + 1, list_append(any_value(centres), arg_max(v, (ln((lot + 0.5) / 4294967296) / apart, -i)))
+  from (
+    select j, centres, i, v, {_LOT.format(text="'42:' || i || ':' || j")} as lot,
+      coalesce(list_min(list_transform(centres, lambda c: {_APART.format(a="v", b="c")})), 1) as apart
+    from starts, dealt where j < 10 and batch = 0)
+  where apart > 0 group by j),
+steps as (
+  select 0 as t, j as c, centres[j + 1] as v, 0 as seen
+  from (select centres, unnest(range(len(centres))) as j from starts where j = (select max(j) from starts))
+  union all
+  select t + 1, c, case when n = 0 then v else list_transform(list_zip(v, s), lambda z: z[1] + (z[2] - z[1] * n) / (seen + n)) end,
+    seen + n
+  from (
+    select s.t, s.c, any_value(s.v) as v, any_value(s.seen) as seen, count(b.i) as n,
+      [{", ".join(f"sum(b.v[{k}])" for k in range(1, 65))}] as s
+    from steps s left join (
+      select t.t, d.i, d.v, arg_min(t.c, ({_APART.format(a="d.v", b="t.v")}, t.c)) as c
+      from steps t join dealt d on d.batch = t.t % d.batches group by t.t, d.i, d.v) b on b.t = s.t and b.c = s.c
+    where s.t < 12 group by s.t, s.c))
+select d.i as vec_id, arg_min(s.c, ({_APART.format(a="d.v", b="s.v")}, s.c)) as cluster_id
+from dealt d, steps s where s.t = 12 group by d.i"""

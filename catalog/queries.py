@@ -21,6 +21,7 @@ from parley.operators import (
     lengths,
     lookup,
     macro,
+    minibatch,
     sandbox,
     search,
     style,
@@ -497,6 +498,13 @@ def kmeans(spark, sf):
     return clustered.select("vec_id", topics.is_nearest(centres).alias("nearest"), known.alias("known"))
 
 
+@query
+def minibatch_kmeans(spark, sf):
+    vectors = views.table(spark, sf, "embeddings")
+    clustered = minibatch.minibatch_kmeans(vectors, 10, column="embedding", id="vec_id", batch_rows=256, steps=12, patience=None)
+    return clustered.select("vec_id", "cluster_id")
+
+
 @query
 def cluster_samples(spark, sf):
     samples = topics.cluster_samples(views.clustered_docs(spark, sf))

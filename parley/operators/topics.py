@@ -18,6 +18,7 @@ from parley.functions.small import member_of
 from parley.functions.text import clean_label
 from parley.functions.topics import DEFAULT_TOPIC
 from parley.functions.topn import first_n
+from parley.operators.minibatch import minibatch_kmeans
 
 DIMENSIONS = 5
 CLUSTERS = 50
@@ -150,10 +151,17 @@ def is_nearest(centres: Sequence[Sequence[float]], column: str = "reduced") -> C
 
 
 def cluster_embeddings(
-    df: DataFrame, k: int = CLUSTERS, dimensions: int = DIMENSIONS, seed: int = SEED
+    df: DataFrame,
+    k: int = CLUSTERS,
+    dimensions: int = DIMENSIONS,
+    seed: int = SEED,
+    batch_rows: int | None = None,
 ) -> DataFrame:
-    """Reduce, then cluster."""
-    return kmeans(pca(df, dimensions), k, seed)
+    """Reduce, then cluster: over all rows in every step or, with ``batch_rows``, over batches."""
+    reduced = pca(df, dimensions)
+    if batch_rows:
+        return minibatch_kmeans(reduced, k, seed, batch_rows=batch_rows)
+    return kmeans(reduced, k, seed)
 
 
 # ---- describing clusters ----

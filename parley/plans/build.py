@@ -43,10 +43,11 @@ def build_topics(
     embed: Callable[[DataFrame], DataFrame] = hashed_embeddings,
     source: str = "fact",
     target: str = "fact_topics",
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """Cluster the texts, label the clusters, and write the fact table with the new topics.
 
-    ``embed`` maps (id, search_text) to (id, embedding) and sees only documents that are not in
+    With ``batch_rows`` the clusters are fitted on batches of so many rows. ``embed`` maps (id, search_text) to (id, embedding) and sees only documents that are not in
     the cache yet.
     """
     fact = read_fact(spark, f"{path}/{source}")
@@ -58,7 +59,7 @@ def build_topics(
         docs_to_embed = docs
     add_embeddings(embed(docs_to_embed), cache)
     vectors = dedup_keep_last(spark.read.parquet(cache), "id", "written")
-    assigned = cluster_embeddings(vectors, clusters, dimensions).select("id", "cluster_id")
+    assigned = cluster_embeddings(vectors, clusters, dimensions, batch_rows=batch_rows).select("id", "cluster_id")
     write_table(assigned, f"{path}/clusters")
     assigned = spark.read.parquet(f"{path}/clusters")
     keywords = cluster_keywords(
