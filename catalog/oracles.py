@@ -666,3 +666,23 @@ steps as (
     where s.t < 12 group by s.t, s.c))
 select d.i as vec_id, arg_min(s.c, ({_APART.format(a="d.v", b="s.v")}, s.c)) as cluster_id
 from dealt d, steps s where s.t = 12 group by d.i"""
+
+# Every vector with every other; what cores reach is a recursion.
+ORACLES["density_topics"] = """
+with recursive vectors as (
+  select vec_id as i, embedding[1]::double as x, embedding[2]::double as y, embedding[3]::double as z from embeddings),
+near as (
+  select a.i, b.i as j, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 as d
+  from vectors a, vectors b where (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 <= 0.06 * 0.06),
+cores as (select i from near group by i having count(*) >= 12),
+links as (select i, j from near where i in (from cores) and j in (from cores)),
+reached as (select i, i as j from cores union select r.i, l.j from reached r join links l on l.i = r.j),
+clusters as (select i, min(j) as cluster from reached group by i),
+borders as (
+  select n.i, arg_min(cluster, (d, n.j)) as cluster
+  from near n join clusters c on c.i = n.j where n.i not in (from cores) group by n.i),
+members as (from clusters union all from borders),
+numbers as (
+  select cluster, row_number() over (order by count(*) desc, cluster) - 1 as topic_id from members group by cluster)
+select v.i as vec_id, coalesce(topic_id, -1) as topic_id
+from vectors v left join members using (i) left join numbers using (cluster)"""

@@ -17,6 +17,7 @@ from parley.operators import (
     annotate,
     anomaly,
     clean,
+    density,
     freq,
     lengths,
     lookup,
@@ -505,6 +506,12 @@ def minibatch_kmeans(spark, sf):
     return clustered.select("vec_id", "cluster_id")
 
 
+@query
+def density_topics(spark, sf):
+    vectors = views.table(spark, sf, "embeddings").select("vec_id", F.slice("embedding", 1, 3).alias("start"))
+    return density.density_topics(vectors, 0.06, 12, "start", "vec_id")
+
+
 @query
 def cluster_samples(spark, sf):
     samples = topics.cluster_samples(views.clustered_docs(spark, sf))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.schemas import FACT, conform
+from parley.session import shared_path
 
 # Distinct ids a Bloom filter is sized for; row groups of long texts hold far fewer rows.
 ROWS_PER_GROUP = 200_000
@@ -66,3 +67,11 @@ def json_records(df: DataFrame) -> DataFrame:
         "ignoreNullFields": "false",
     }
     return df.select(F.to_json(F.struct("*"), options).alias("record"))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written once below the shared folder and read from there: an intermediate
+    that outlives lost executors and cuts the lineage."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
