@@ -686,3 +686,8 @@ numbers as (
   select cluster, row_number() over (order by count(*) desc, cluster) - 1 as topic_id from members group by cluster)
 select v.i as vec_id, coalesce(topic_id, -1) as topic_id
 from vectors v left join members using (i) left join numbers using (cluster)"""
+
+ORACLES["topics_rewritten"] = f"""with {DOC_FACT}
+select id, case when toxic = 1 then 'Toxic' when quality = 1 then 'Good' when quality = 0 then 'Poor' else topic end as topic,
+  turn_count, md5(search_text) as digest
+from doc_fact left join labels on doc_id = key"""

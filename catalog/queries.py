@@ -31,7 +31,7 @@ from parley.operators import (
     users,
 )
 from parley.session import shared_path
-from parley.sources import readers, tables
+from parley.sources import buckets, readers, tables
 from parley.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -609,6 +609,20 @@ def apply_topics(spark, sf):
     return topics.apply_topics(views.doc_fact(spark, sf), quality).select("id", "topic")
 
 
+@query
+def topics_rewritten(spark, sf):
+    """Written in buckets, rewritten twice, and read from the files."""
+    labels = views.table(spark, sf, "labels").withColumn("id", F.md5(F.col("doc_id").cast("string")))
+    quality = labels.select("id", F.when(F.col("quality") == 1, "Good").otherwise("Poor").alias("new_topic"))
+    toxic = labels.filter("toxic = 1").select("id", F.lit("Toxic").alias("new_topic"))
+    path = shared_path(spark, "rewritten")
+    buckets.write_bucketed(views.doc_fact(spark, sf), f"{path}/0", 8)
+    buckets.rewrite_topics(spark, f"{path}/0", f"{path}/1", quality, 8)
+    buckets.rewrite_topics(spark, f"{path}/1", f"{path}/2", toxic, 8)
+    fact = buckets.fact_of(buckets.open_bucketed(spark, f"{path}/2", 8))
+    return fact.select("id", "topic", "turn_count", F.md5("search_text").alias("digest"))
+
+
 @query
 def sample_fixed(spark, sf):
     return topics.sample_fixed(views.headers(spark, sf).select("id", "topic"), 100)

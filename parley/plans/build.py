@@ -25,6 +25,7 @@ from parley.operators.topics import (
     model_docs,
     topic_updates,
 )
+from parley.sources.buckets import fact_of, open_bucketed, rewrite_topics
 from parley.sources.tables import add_embeddings, read_fact, write_fact, write_table
 
 
@@ -44,13 +45,16 @@ def build_topics(
     source: str = "fact",
     target: str = "fact_topics",
     batch_rows: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Cluster the texts, label the clusters, and write the fact table with the new topics.
 
-    With ``batch_rows`` the clusters are fitted on batches of so many rows. ``embed`` maps (id, search_text) to (id, embedding) and sees only documents that are not in
+    With ``batch_rows`` the clusters are fitted on batches of so many rows. With ``buckets`` the
+    source and the target are bucketed tables (:mod:`parley.sources.buckets`) and the rewrite
+    shuffles only ids and topics. ``embed`` maps (id, search_text) to (id, embedding) and sees only documents that are not in
     the cache yet.
     """
-    fact = read_fact(spark, f"{path}/{source}")
+    fact = open_bucketed(spark, f"{path}/{source}", buckets) if buckets else read_fact(spark, f"{path}/{source}")
     docs = model_docs(fact)
     cache = f"{path}/embeddings"
     if _exists(spark, cache):
@@ -69,6 +73,8 @@ def build_topics(
     write_table(labels, f"{path}/labels")
     labels = spark.read.parquet(f"{path}/labels")
     updates = topic_updates(assigned, labels, order="cluster_id")
+    if buckets:
+        return fact_of(rewrite_topics(spark, f"{path}/{source}", f"{path}/{target}", updates, buckets))
     write_fact(apply_topics(fact, updates), f"{path}/{target}")
     return read_fact(spark, f"{path}/{target}")
 
