@@ -691,3 +691,13 @@ ORACLES["topics_rewritten"] = f"""with {DOC_FACT}
 select id, case when toxic = 1 then 'Toxic' when quality = 1 then 'Good' when quality = 0 then 'Poor' else topic end as topic,
   turn_count, md5(search_text) as digest
 from doc_fact left join labels on doc_id = key"""
+
+for _name, _same in (
+    ("search_blocks", "search_bm25_index"), ("search_blocks_filtered", "search_bm25_filtered"),
+    ("search_blocks_stemmed", "search_bm25_stemmed"),
+):
+    ORACLES[_name] = ORACLES[_same]
+ORACLES["block_maxima"] = f"""with {TOKENS}
+select term, count(*) as doc_freq,
+  round(max(tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean_length))), 6) as top
+from postings, stats group by term"""

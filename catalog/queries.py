@@ -16,6 +16,7 @@ from parley.functions.topics import keyword_topic
 from parley.operators import (
     annotate,
     anomaly,
+    block_search,
     clean,
     density,
     freq,
@@ -203,6 +204,51 @@ def search_bm25_stemmed(spark, sf):
     return _rounded(found, "score")
 
 
+_built: dict[tuple, block_search.BlockIndex] = {}
+
+
+def _block_index(spark, sf, stems: bool) -> block_search.BlockIndex:
+    """Built once for all questions of a session."""
+    key = (spark.sparkContext.applicationId, sf, stems)
+    if key not in _built:
+        path = shared_path(spark, "blocks")
+        _built[key] = block_search.write_blocks(views.doc_fact(spark, sf), path, params.STOP_WORDS, stems, blocks=16)
+    return _built[key]
+
+
+@query
+def search_blocks(spark, sf):
+    found = block_search.search_blocks(
+        _block_index(spark, sf, False), views.doc_fact(spark, sf), params.SEARCH_QUERY, limit=50, stop_words=params.STOP_WORDS
+    )
+    return _rounded(found, "score")
+
+
+@query
+def search_blocks_filtered(spark, sf):
+    found = block_search.search_blocks(
+        _block_index(spark, sf, False), views.doc_fact(spark, sf), params.SEARCH_QUERY, topic="Coding & Debugging",
+        model="gpt-4o", min_turns=2, limit=20, stop_words=params.STOP_WORDS,
+    )
+    return _rounded(found, "score")
+
+
+@query
+def search_blocks_stemmed(spark, sf):
+    found = block_search.search_blocks(
+        _block_index(spark, sf, True), views.doc_fact(spark, sf), params.SEARCH_QUERY, limit=50, stop_words=params.STOP_WORDS
+    )
+    return _rounded(found, "score")
+
+
+@query
+def block_maxima(spark, sf):
+    """What the index says of each root: documents, and the largest saturation over all blocks."""
+    index = _block_index(spark, sf, False)
+    tops = index.maxima.groupBy("root").agg(F.max("top").alias("top"))
+    return _rounded(tops.join(index.roots, "root").select(F.col("root").alias("term"), "doc_freq", "top"), "top")
+
+
 @query
 def search_stems(spark, sf):
     """Straight from the texts."""
