@@ -701,3 +701,12 @@ ORACLES["block_maxima"] = f"""with {TOKENS}
 select term, count(*) as doc_freq,
   round(max(tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean_length))), 6) as top
 from postings, stats group by term"""
+
+ORACLES["summary_merged"] = ORACLES["dataset_summary"]
+ORACLES["summary_row"] = f"""
+select total_count, strftime(start_date, '%Y-%m-%d %H:%M:%S') || ' to ' || strftime(end_date, '%Y-%m-%d %H:%M:%S') as date_range,
+  model_json, topic_json, country_json
+from ({ORACLES["dataset_summary"]})"""
+ORACLES["stream_totals"] = f"""with {CLEAN}
+select d.n as rows, d.n as rows_read, c.n as rows_kept, c.n as written
+from (select count(*) as n from documents) d, (select count(*) as n from clean) c"""

@@ -31,9 +31,10 @@ from parley.operators import (
     topics,
     users,
 )
+from parley.plans import build, incremental
 from parley.session import shared_path
 from parley.sources import buckets, readers, tables
-from parley.streaming import ingest
+from parley.streaming import ingest, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -138,6 +139,27 @@ def dataset_summary(spark, sf):
     return summary.dataset_summary(views.with_country(views.headers(spark, sf), spark, sf))
 
 
+@query
+def summary_merged(spark, sf):
+    """Three batches, one of them run twice, with the first two folded in between."""
+    rows = views.with_country(views.headers(spark, sf), spark, sf)
+    path = shared_path(spark, "growing")
+    for number in (0, 1, 1):
+        incremental.append_batch(rows.filter(F.col("key") % 3 == number), path, number)
+    incremental.fold(spark, path, 1)
+    incremental.append_batch(rows.filter(F.col("key") % 3 == 2), path, 2)
+    return incremental.merged_summary(spark, path)
+
+
+@query
+def summary_row(spark, sf):
+    """Written by the offline build and read as its summary row."""
+    path = shared_path(spark, "corpus")
+    tables.write_fact(views.with_country(views.headers(spark, sf), spark, sf), f"{path}/fact")
+    build.build_summary(spark, path)
+    return build.read_summary(spark, path)
+
+
 @query
 def dist_model(spark, sf):
     return summary.top_models(views.headers(spark, sf))
@@ -323,6 +345,20 @@ def stream_ingest(spark, sf):
     return _clean_columns(tables.read_fact(spark, f"{path}/fact"))
 
 
+@query
+def stream_totals(spark, sf):
+    """What a watch has added up of an ingest: rows read and rows kept."""
+    path = shared_path(spark, "watched")
+    raw = watch.observed(views.raw_stream(spark, sf), "read")
+    with watch.Watch(spark) as seen:
+        rows = watch.observed(clean.clean_records(raw), "kept").writeStream.format("parquet").option("path", f"{path}/fact")
+        query = rows.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+        totals = seen.totals(ingest.finish(query))
+    counts = [(totals.rows, totals.observed["read.rows"], totals.observed["kept.rows"])]
+    written = tables.read_fact(spark, f"{path}/fact").agg(F.count(F.lit(1)).alias("written"))
+    return written.select(*[F.lit(n).cast("long").alias(c) for c, n in zip(("rows", "rows_read", "rows_kept"), counts[0], strict=True)], "written")
+
+
 @query
 def resume_skip(spark, sf):
     done = views.table(spark, sf, "labels").select(F.md5(F.col("doc_id").cast("string")).alias("id"))

@@ -8,21 +8,17 @@ from pyspark.sql import functions as F
 from parley.functions.topics import NOISE_TOPIC
 
 
-def dataset_summary(fact: DataFrame, top: int = 10) -> DataFrame:
-    """Row count, first and last timestamp, and top models, topics and countries as JSON lists.
+KINDS = (("model", "model_family"), ("topic", "topic"), ("country", "country"))
+
+
+def partial_summary(fact: DataFrame) -> DataFrame:
+    """``(kind, name, count, first, last)``: rows and time bounds of every model, topic and country.
 
     One scan and one shuffle: each row contributes its three values, which are combined per value
     before the shuffle; every row has exactly one 'model' entry, so those carry the totals.
     """
-    entries = F.array(
-        *[
-            F.struct(F.lit(kind).alias("kind"), F.col(column).alias("name"))
-            for kind, column in (
-                ("model", "model_family"), ("topic", "topic"), ("country", "country"),
-            )
-        ]
-    )
-    values = (
+    entries = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(column).alias("name")) for kind, column in KINDS])
+    return (
         fact.select("timestamp", F.explode(entries).alias("e"))
         .groupBy("e.kind", "e.name")
         .agg(
@@ -31,6 +27,22 @@ def dataset_summary(fact: DataFrame, top: int = 10) -> DataFrame:
             F.max("timestamp").alias("last"),
         )
     )
+
+
+def merge_summaries(parts: DataFrame) -> DataFrame:
+    """Partial summaries of disjoint sets of rows as that of all of them."""
+    return parts.groupBy("kind", "name").agg(
+        F.sum("count").alias("count"), F.min("first").alias("first"), F.max("last").alias("last")
+    )
+
+
+def dataset_summary(fact: DataFrame, top: int = 10) -> DataFrame:
+    """Row count, first and last timestamp, and top models, topics and countries as JSON lists."""
+    return summary_of(partial_summary(fact), top)
+
+
+def summary_of(values: DataFrame, top: int = 10) -> DataFrame:
+    """The summary row of a (merged) partial summary."""
     listed = (F.col("kind") == "model") | (
         F.col("name").isNotNull() & ((F.col("kind") != "topic") | (F.col("name") != NOISE_TOPIC))
     )

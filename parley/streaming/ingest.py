@@ -47,7 +47,8 @@ def skip_done(source: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
 
 
 def progress(query: StreamingQuery) -> dict[str, float]:
-    """Rows read, batches and the latest rate of a query."""
+    """Rows read, batches and the latest rate over the reports that the query still keeps, by default
+    the last hundred; :class:`parley.streaming.watch.Watch` adds up all of them."""
     updates = query.recentProgress
     return {
         "batches": len(updates),
