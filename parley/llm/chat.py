@@ -14,6 +14,7 @@ on its own: a conversation with a third of all rows is many tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -148,19 +149,20 @@ def _matrix(roles: pa.Array) -> pa.Array:
     return pa.array([segment_matrix(r).ravel().tolist() for r in roles.to_pylist()], pa.list_(pa.int64()))
 
 
-_CUTS = "array<struct<part:bigint,segment:bigint,entry:int,exit:int,position:bigint,last:boolean>>"
+_CUTS = "array<struct<part:bigint,segment:bigint,entry:int,exit:int,position:bigint,ahead:bigint,last:boolean>>"
 
 
 def _cuts(parts: pa.Array) -> pa.Array:
     out = []
     for own in parts.to_pylist():
         states, turns = states_at_cuts([np.array(s["matrix"]).reshape(4, 4) for s in own])
+        ahead = [0, *accumulate(s["size"] for s in own)]  # turns of the conversation before each segment
         out.append(
             [{"part": s["part"], "segment": s["segment"], "entry": states[i], "exit": states[i + 1],
-              "position": turns[i], "last": i == len(own) - 1} for i, s in enumerate(own)]
+              "position": turns[i], "ahead": ahead[i], "last": i == len(own) - 1} for i, s in enumerate(own)]
         )
     kind = pa.struct([("part", pa.int64()), ("segment", pa.int64()), ("entry", pa.int32()),
-                      ("exit", pa.int32()), ("position", pa.int64()), ("last", pa.bool_())])
+                      ("exit", pa.int32()), ("position", pa.int64()), ("ahead", pa.int64()), ("last", pa.bool_())])
     return pa.array(out, pa.list_(kind))
 
 
@@ -181,7 +183,8 @@ def repair(
     turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
     """One row per piece of the repaired conversations: the ``conversation`` column, ``position``
-    (of the repaired turn, from 0), ``piece`` (order of the pieces at that position), ``turn`` (the
+    (of the repaired turn, from 0), ``piece`` (order of the pieces at that position: -1,
+    then the merged turns' numbers in their conversation, from 0), ``turn`` (the
     input's number; NULL if inserted), ``role``, ``action`` (keep, relabel, merge or insert) and
     ``rendered``. The pieces' ``rendered`` one after the other are the rendered conversation, so no
     row holds more than one input turn.
@@ -209,12 +212,12 @@ def repair(
     )
     listed = stored(listed, "segments")
     matrix, cut, resolved = F.arrow_udf(_matrix, "array<bigint>"), F.arrow_udf(_cuts, _CUTS), F.arrow_udf(_resolved, _TURNS)
-    matrices = listed.select("c", F.struct("part", "segment", matrix("roles").alias("matrix")).alias("s"))
+    matrices = listed.select("c", F.struct("part", "segment", F.size("roles").alias("size"), matrix("roles").alias("matrix")).alias("s"))
     cuts = matrices.groupBy("c").agg(F.array_sort(F.collect_list("s")).alias("s")).select(F.explode(cut("s")).alias("cut")).select("cut.*")
     decided = (
         listed.join(cuts, ["part", "segment"])
-        .select("part", "segment", F.explode(resolved("roles", "entry", "exit", "position", "last")).alias("d"))
-        .select("part", "segment", "d.*")
+        .select("part", "segment", "ahead", F.explode(resolved("roles", "entry", "exit", "position", "last")).alias("d"))
+        .select("part", "segment", "ahead", "d.*")
     )
     both = rows.select("c", "t", "x", "part", "segment", "nth").join(decided, ["part", "segment", "nth"])
 
@@ -223,7 +226,7 @@ def repair(
         return F.concat(closed, F.lit("<|im_start|>"), role, F.lit("\n"))
 
     def piece(position, turn, role, action, rendered):
-        order = F.when(action == "merge", F.col("part") * (1 << 33) + F.col("segment") * SEGMENT_ROWS + F.col("nth"))
+        order = F.when(action == "merge", F.col("ahead") + F.col("nth"))
         return F.struct(
             position.cast("long").alias("position"), F.coalesce(order, F.lit(-1)).cast("long").alias("order"),
             turn.alias("turn"), role.alias("role"), action.alias("action"), rendered.alias("rendered"),

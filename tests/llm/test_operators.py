@@ -519,3 +519,21 @@ def test_sections_of_a_long_text(spark, monkeypatch):
     out = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
     for r, want in zip(out, brute.repeated_bytes([t for _, t in rows]), strict=True):
         assert (r.repeats.n_bytes, r.repeats.n_removed, len(r.repeats.spans), bytes(r.repeats.kept)) == want
+
+
+def test_pieces_follow_the_turns_beyond_many_conversations(spark):
+    """A long conversation across partitions, among more short ones than a segment has turns."""
+    import pyspark.sql.functions as F
+
+    short = spark.range(280_000).select(F.when(F.col("id") < 140_000, F.col("id")).otherwise(F.col("id") + 1000).alias("conv_id"), F.lit(0).cast("long").alias("turn"))
+    long = spark.range(120_000).select(F.lit(140_500).cast("long").alias("conv_id"), F.col("id").alias("turn"))
+    turns = short.union(long).select("*", F.lit("user").alias("role"), F.lit("x").alias("text"))
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = chat.repair(turns).filter("conv_id = 140500 and action <> 'insert'").select("position", "piece", "turn")
+        rows = sorted(map(tuple, out.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    assert [r[2] for r in rows] == list(range(120_000))
+    assert [r[1] for r in rows] == [-1, *range(1, 120_000)]
