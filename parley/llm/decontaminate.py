@@ -23,6 +23,7 @@ SHINGLE = 5
 CONTAINMENT = 0.8
 PERMUTATIONS = 32  # at containment 0.8 a window shares at least 0.19 with an item: 0.1 % missed
 BLOCK_BYTES = 32 << 20
+BATCH_BYTES = 4 << 20
 
 _MULTIPLIERS = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -151,7 +152,7 @@ def find_items(
     for each block, so neither the driver nor a broadcast ever holds more than a block.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     row = F.struct(*docs.drop("items").columns)
     out, found = docs.select(row.alias("__row"), F.col(text).alias("__text")), []
     for n, block in enumerate(item_blocks(items, item_id, item_text, block_bytes)):

@@ -27,6 +27,7 @@ LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
 SPREAD = 0.25  # mean signs beyond this are cut off at the border cell
 CACHED_WORDS = 400_000
+BATCH_BYTES = 4 << 20
 
 _BEFORE_SPACE = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
 _PLAIN = re.compile(rb"[a-z]+")
@@ -222,7 +223,7 @@ def pack(
     What the driver sees is one number per partition.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     kind = docs.schema[id].dataType
     schema = T.StructType(
         [

@@ -27,6 +27,7 @@ from parley.llm.words import mix, signed, sliding_min, word_chunks
 LENGTH = 13
 ANCHOR = 4  # words
 SALTS = 1024
+BATCH_BYTES = 4 << 20
 NO_ID = -(1 << 63)  # stands for NULL in joins; no anchor has it
 
 FOLDED = "key long, salt int, id long, known boolean"
@@ -167,7 +168,7 @@ def remove_repeats(
     each other; rows with a NULL id neither lose words nor cause others to. Windows are compared
     by a 64-bit hash.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     # Both joins below take the same columns of ``rows`` by the same key, which is never NULL, so
     # that the texts are shuffled once for both.
     own = F.col(id).cast("long")
