@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.arrow import small_batches
+from parley.llm.arrow import small_batches, thrifty
 from parley.llm.store import stored
 from parley.llm.words import bytes_of, mix, row_chunks
 
@@ -148,6 +148,7 @@ def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def _tokenized(path: str, end_id: int, length: int):
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.arrow import small_batches
+from parley.llm.arrow import give_back, small_batches, thrifty
 from parley.llm.store import stored
 from parley.llm.substrings import FOLDED, _member, fold
 from parley.llm.words import BYTE_VALUES, bytes_of, mix, powers, row_chunks, sliding_min
@@ -84,7 +84,7 @@ def _contexts(column: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray,
     """For each chunk its first row, its rows' bounds within it, its bytes, the place of its first
     byte in the row, and its contexts. Long rows come in sections."""
     data, offsets = bytes_of(column)
-    for row, last in row_chunks(offsets, SECTION):
+    for row, last in row_chunks(offsets, SECTION // 4):
         a, b = int(offsets[row]), int(offsets[last])
         if last == row + 1 and b - a > 2 * SECTION:
             for at in range(a, b, SECTION):
@@ -97,6 +97,7 @@ def _contexts(column: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray,
 
 
 def _cores(length: int):
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -112,6 +113,7 @@ def _cores(length: int):
 def _asked(length: int):
     """The contexts whose core is asked for: (core, context, doc, start, size, count)."""
 
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -139,6 +141,7 @@ def _asked(length: int):
     return run
 
 
+@thrifty
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the contexts listed for each text."""
     for batch in batches:
@@ -151,9 +154,9 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([core, context, n, pa.array(texts, pa.binary())], ["core", "context", "n", "bytes"])
 
 
-def suffix_array(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes in order, each up to its ``ends`` entry, compared on 512 bytes; and the eight
-    bytes from each place on (zeros past the end)."""
+def suffix_array(data: np.ndarray, ends: np.ndarray, deep: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes in order, each up to its ``ends`` entry, compared on ``deep`` bytes or more; and
+    the eight bytes from each place on (zeros past the end)."""
     n = len(data)
     padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
     left = ends - np.arange(n)
@@ -167,7 +170,7 @@ def suffix_array(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     rank = np.empty(n, dtype=np.int64)
     rank[order] = np.cumsum(new)
     depth = 8
-    while depth < 512 and new.sum() < n:
+    while depth < deep and new.sum() < n:
         ahead = np.zeros(n, dtype=np.int64)
         inside = np.flatnonzero(left > depth)
         ahead[inside] = rank[inside + depth]
@@ -187,7 +190,7 @@ def repeated_windows(contexts: list[bytes], counts: np.ndarray, length: int) ->
     data = np.frombuffer(b"".join(contexts), dtype=np.uint8)
     first = np.cumsum(sizes) - sizes
     n = len(data)
-    order, eight = suffix_array(data, np.repeat(first + sizes, sizes))
+    order, eight = suffix_array(data, np.repeat(first + sizes, sizes), length)
     place = np.empty(n, dtype=np.int64)
     place[order] = np.arange(n)
 
@@ -236,6 +239,8 @@ def _expand(length: int):
     def run(table: pa.Table) -> pa.Table:
         flags = repeated_windows(table["bytes"].to_pylist(), table["n"].to_numpy(), length)
         found = [(c, _ranges(f)) for c, f in zip(table["context"].to_pylist(), flags, strict=True) if f.any()]
+        del flags
+        give_back()
         return pa.table({"context": pa.array([c for c, _ in found], pa.int64()), "ranges": pa.array([r for _, r in found], _RANGES)})
 
     return run
@@ -292,7 +297,10 @@ def _removal(length: int):
             own = covered[a:b]
             spans = _ranges(own)
             out.append({"n_bytes": int(b - a), "n_removed": int(own.sum()), "spans": spans, "kept": data[a:b][~own].tobytes() if spans else data[a:b].tobytes()})
-        return pa.array(out, type=_RESULT)
+        result = pa.array(out, type=_RESULT)
+        del data, mark, covered, out
+        give_back()
+        return result
 
     return remove
 

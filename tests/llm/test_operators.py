@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -537,3 +538,14 @@ def test_pieces_follow_the_turns_beyond_many_conversations(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
     assert [r[2] for r in rows] == list(range(120_000))
     assert [r[1] for r in rows] == [-1, *range(1, 120_000)]
+
+
+def test_windows_longer_than_512_bytes():
+    rng = random.Random(8)
+    for _ in range(10):
+        base = bytes(rng.choice(b"ab") for _ in range(1400))
+        other = base[:700] + b"z" + base[701:]
+        texts = [base, other, b"q" + base[:950], base[300:1300]]
+        got = suffixes.repeated_windows(texts, np.ones(4, dtype=np.int64), 900)
+        every = Counter(t[i : i + 900] for t in texts for i in range(len(t) - 899))
+        assert [list(f) for f in got] == [[every[t[i : i + 900]] > 1 for i in range(len(t) - 899)] for t in texts]
