@@ -26,7 +26,8 @@ from parley.llm.words import bytes_of, mix, row_chunks
 LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
 SPREAD = 0.25  # mean signs beyond this are cut off at the border cell
-CACHED_WORDS = 400_000
+CACHED_WORDS = 120_000
+KEPT_BYTES = 64  # longer words, such as encoded data, are not kept
 BATCH_BYTES = 4 << 20
 
 _BEFORE_SPACE = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
@@ -97,9 +98,14 @@ class WordIds:
         if len(self.young) > self.limit:
             self.young, self.old = {}, self.young
         rows = [self.words(t) for t in texts]
-        self.learn(set(chain.from_iterable(rows)).difference(self.young))
+        new = set(chain.from_iterable(rows)).difference(self.young)
+        self.learn(new)
         get = self.young.__getitem__
-        return [b"".join(map(get, r)) for r in rows]
+        found = [b"".join(map(get, r)) for r in rows]
+        for w in new:
+            if len(w) > KEPT_BYTES:
+                del self.young[w]
+        return found
 
 
 _known: dict[str, WordIds] = {}
@@ -183,6 +189,7 @@ def _tokenized(path: str, end_id: int, length: int):
                     ["uid", "id", "curve", "doc_tokens", "start", "ids"],
                 )
                 uid += high - low
+        words.old = {}  # an idle worker keeps one generation
 
     return run
 
