@@ -1,9 +1,10 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-A document is its sequence of different five-word shingles, in order of first occurrence. A sample
-keeps the ``KEPT`` shingles with the smallest hashes, in the order of the sequence, so two samples
-agree only where shingles are shared in the same order. Bands of samples give candidates,
-and the alignment of both sequences decides: aligned shingles by all shingles of the two.
+A document is its sequence of five-word shingles, each labelled with its occurrence: the second
+"a b c d e" is another symbol than the first. A sample keeps the ``KEPT`` symbols with the smallest
+hashes, in the order of the sequence, so two samples agree only where shingles are shared as often
+and in the same order. Bands of samples give candidates, and the alignment of both sequences
+decides: aligned symbols by all symbols of the two.
 """
 
 from __future__ import annotations
@@ -29,13 +30,29 @@ ROWS, BANDS = 2, 16  # at similarity 0.8 a sample agrees with 0.64, some band wi
 BATCH_BYTES = 4 << 20  # a task holds several numbers for each byte of a batch
 SIZE_CLASS = 1.05
 FREQUENT = 8  # documents that have a shingle which is no longer rare
+SALTS = 64  # parts in which a large group is named
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64))
 
 
+def labelled(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Shingles that also tell how often their row had them before; the first ones stay."""
+    row = np.repeat(np.arange(len(bounds) - 1, dtype=np.uint64), np.diff(bounds))
+    own = mix(shingles ^ mix(row * _ODD))
+    order = np.argsort(own, kind="stable")
+    place = np.arange(len(own))
+    first = np.ones(len(own), dtype=bool)
+    first[1:] = own[order[1:]] != own[order[:-1]]
+    nth = place - np.maximum.accumulate(np.where(first, place, 0))
+    again = order[nth > 0]
+    out = shingles.copy()
+    out[again] = mix(shingles[again] + nth[nth > 0].astype(np.uint64) * _ODD)
+    return out
+
+
 def shingle_sequence(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
-    """The shingle hashes of all rows and the rows' bounds; a row of fewer words is one shingle."""
+    """The labelled shingles of all rows and the rows' bounds; a row of fewer words is one shingle."""
     grams, whole = chunk.grams(SHINGLE)
     counts = chunk.counts
     short = (counts > 0) & (counts < SHINGLE)
@@ -48,17 +65,8 @@ def shingle_sequence(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         whole = whole.copy()
         whole[firsts] = True
     sizes = np.where(short, 1, np.maximum(0, counts - (SHINGLE - 1)))
-    return grams[whole], np.concatenate([[0], np.cumsum(sizes)])
-
-
-def first_occurrences(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's sequence of different shingles, as ``once`` has it, and the rows' bounds in that."""
-    row = np.repeat(np.arange(len(bounds) - 1, dtype=np.uint64), np.diff(bounds))
-    own = mix(shingles ^ mix(row * _ODD))
-    order = np.argsort(own, kind="stable")
-    first = np.ones(len(own), dtype=bool)
-    first[order[1:]] = own[order[1:]] != own[order[:-1]]
-    return shingles[first], np.concatenate([[0], np.cumsum(first)])[bounds]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    return labelled(grams[whole], bounds), bounds
 
 
 def sketch(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -66,7 +74,6 @@ def sketch(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     bounds = bounds[np.concatenate([[True], np.diff(bounds) > 0])]
     if len(bounds) < 2:
         return np.zeros((0, BANDS), dtype=np.uint64)
-    shingles, bounds = first_occurrences(shingles, bounds)
     firsts, sizes = bounds[:-1], np.diff(bounds)
     own = mix(shingles)
     end = np.uint64(np.iinfo(np.uint64).max)
@@ -154,11 +161,6 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     return share if share >= least else 0.0
 
 
-def once(shingles: np.ndarray) -> np.ndarray:
-    """The different shingles in the order of their first occurrence."""
-    return shingles[np.sort(np.unique(shingles, return_index=True)[1])]
-
-
 def _verify(least: float):
     @F.arrow_udf("double")
     def verify(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -166,7 +168,7 @@ def _verify(least: float):
             out = []
             for chunk in word_chunks(texts, lower=True):
                 shingles, bounds = shingle_sequence(chunk)
-                out += [once(shingles[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+                out += [shingles[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
             return out
 
         pairs = zip(sequences(left), sequences(right), strict=True)
@@ -176,7 +178,7 @@ def _verify(least: float):
 
 
 def _profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's different shingles, folded by batch."""
+    """Each text's labelled shingles, folded by batch."""
     for batch in batches:
         ids = batch.column(0).to_numpy()
         keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -187,19 +189,14 @@ def _profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield fold(np.concatenate(keys), np.concatenate(owners), few=FREQUENT)
 
 
-def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """One text for each of the ids."""
-    return texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
-
-
 def profiles(ids: DataFrame, texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """What the shingles of these texts allow.
 
-    First ``id``, ``n`` (its different shingles), ``common`` (those that another of these texts has
+    First ``id``, ``n`` (its shingles), ``common`` (those that another of these texts has
     too) and ``often`` (those that ``FREQUENT`` of them have), for the ids that can have a partner
     at all: it shares ``least`` of the shingles. Then the rare shared shingles (``key``, ``id``).
     """
-    rows = _texts_of(ids, texts).select("id", "text").mapInArrow(_profiled, FOLDED)
+    rows = texts.join(ids, "id", "left_semi").select("id", "text").mapInArrow(_profiled, FOLDED)
     by = Window.partitionBy("key", "salt")
     many = F.col("known") | F.max("known").over(by) | (F.count("*").over(by) >= FREQUENT)
     rows = rows.select("key", "id", many.alias("many"), (F.count("*").over(by) > 1).alias("two"))
@@ -225,44 +222,31 @@ def _size_class(n: Column) -> Column:
 def _links(pairs: DataFrame, texts: DataFrame, least: float, name: str) -> DataFrame:
     """The pairs ``a``, ``b`` whose texts are similar."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = _texts_of(asked, texts)
+    wanted = texts.join(asked, "id", "left_semi")
     both = pairs.join(wanted.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
     both = both.join(wanted.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
     return stored(both.filter(_verify(least)("left", "right") > 0).select("a", "b"), name)
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """``id`` and ``class_id`` (the smallest id of its class) for each row of ``docs``.
-
-    Two documents are linked if their sequences of different five-word shingles (words between white
-    space, A-Z lower-cased; in order of first occurrence) align to at least ``least``: aligned
-    shingles by the shingles of both without counting aligned ones twice. A class is what links
-    connect. Documents with the same words are one class without further ado; those with fewer than
-    five words are alike only then, and all without words (NULL, empty) are one class. Ids are whole
-    numbers. Rows with a NULL id are not compared: their class is NULL. Rows with the same id are
-    taken as one document: if their texts differ, it is open which of them is aligned with others.
-    An empty table gives no rows.
+def _least(rows: DataFrame, key: str, value: Column) -> DataFrame:
+    """``rows`` with ``lead``, the least value of all rows of the key. Each part of a key is named by
+    itself, so that a key with very many rows is not one task's."""
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    parts = rows.groupBy(key, "part").agg(F.min(value).alias("least"))
+    whole = parts.groupBy(key).agg(F.min("least").alias("lead"))
+    return rows.join(parts.join(whole, key).drop("least"), [key, "part"]).drop("part")
 
-    Copies are folded first: only one document of equal words goes on. Then every two documents with
-    a common bucket are compared, known to be of one class, or known to be too different, without
-    pairing off whole buckets:
 
-    * Shingles that no other candidate has cannot be aligned. A document with too many of them for
-      any partner goes; and two documents need enough others for the size of both.
-    * Each document meets a leader of each of its buckets, the one with the smallest share of such
-      shingles: of many near copies of one text, the one most like that text.
-    * Two documents of different classes that share a rare shingle meet.
-    * Two that share none have only frequent ones in common. In buckets that still hold several
-      classes, the documents outside the largest class meet those of other classes for which
-      their frequent shingles are enough.
-    """
-    spark = docs.sparkSession
-    small_batches(spark, BATCH_BYTES)
-    texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+def _classes(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Of the numbered texts (``id``, ``name``, ``text``): ``id`` and ``name`` with ``lead`` (least
+    name and id of the class) for each row, and the leads alone."""
     marked = F.arrow_udf(sketch_rows, "struct<high:bigint,low:bigint,bands:array<bigint>>")
-    sketches = stored(texts.filter(F.col("id").isNotNull()).select("id", marked("text").alias("s")).select("id", "s.*"), "sketches")
-    heads = stored(sketches.groupBy("high", "low").agg(F.min("id").alias("head")), "heads")
-    own = sketches.join(heads, ["high", "low"]).filter(F.col("id") == F.col("head"))
+    sketches = texts.select("id", "name", marked("text").alias("s")).select("id", "name", "s.*")
+    sketches = stored(sketches.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(SALTS))), "sketches")
+    copies = stored(sketches.groupBy("high", "low", "part").agg(F.min(F.struct("name", "id")).alias("least")), "copies")
+    heads = copies.groupBy("high", "low").agg(F.min("least").alias("head"))
+    heads = stored(heads.select("high", "low", "head.name", "head.id"), "heads")
+    own = sketches.join(heads.select("id"), "id", "left_semi")
     own = own.select("id", F.explode("bands").alias("bucket")).distinct()
     several = own.groupBy("bucket").count().filter(F.col("count") > 1).select("bucket")
     own = stored(own.join(several, "bucket").select("bucket", "id"), "buckets")
@@ -312,16 +296,56 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", lea
         final = found
     else:
         final = components(links.union(_links(second, texts, least, "links")))
-    classes = heads.join(final.withColumnRenamed("node", "head"), "head", "left")
-    classes = classes.select("high", "low", F.coalesce("component", "head").alias("class_id"))
-    out = sketches.join(classes, ["high", "low"]).select(F.col("id").alias(id), "class_id")
-    unnamed = docs.filter(F.col(id).isNull()).select(F.col(id).cast("long").alias(id), F.lit(None).cast("long").alias("class_id"))
-    return out.union(unnamed)
+    named = heads.join(final.withColumnRenamed("node", "id"), "id", "left")
+    named = named.withColumn("component", F.coalesce("component", "id"))
+    named = stored(_least(named, "component", F.struct("name", "id")).select("high", "low", "lead"), "named")
+    parts = copies.join(named, ["high", "low"]).drop("least")
+    rows = sketches.drop("bands").join(parts, ["high", "low", "part"]).select("id", "name", "lead")
+    return rows, named.select("lead").distinct()
+
+
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """``id`` and ``class_id`` (the smallest id of its class) for each row of ``docs``.
+
+    Two documents are linked if their sequences of five-word shingles (words between white space,
+    A-Z lower-cased), each labelled with its occurrence, align to at least ``least``: aligned
+    shingles by the shingles of both without counting aligned ones twice. So a text and many
+    repetitions of it are not alike. A class is what links connect. Documents with the same words are
+    one class without further ado; those with fewer than five words are alike only then, and all
+    without words (NULL, empty) are one class. Ids are whole numbers. Rows with a NULL id are not
+    compared: their class is NULL. Rows with the same id are documents of their own: the texts decide
+    their classes, and classes with the same smallest id carry the same ``class_id``
+    (:func:`keep_one` tells them apart). An empty table gives no rows.
+
+    Copies are folded first: only one document of equal words goes on. Then every two documents with
+    a common bucket are compared, known to be of one class, or known to be too different, without
+    pairing off whole buckets:
+
+    * Shingles that no other candidate has cannot be aligned. A document with too many of them for
+      any partner goes; and two documents need enough others for the size of both.
+    * Each document meets a leader of each of its buckets, the one with the smallest share of such
+      shingles: of many near copies of one text, the one most like that text.
+    * Two documents of different classes that share a rare shingle meet.
+    * Two that share none have only frequent ones in common. In buckets that still hold several
+      classes, the documents outside the largest class meet those of other classes for which
+      their frequent shingles are enough.
+    """
+    small_batches(docs.sparkSession, BATCH_BYTES)
+    named = docs.select(F.col(id).cast("long").alias("name"), F.col(text).alias("text"))
+    texts = named.filter(F.col("name").isNotNull()).withColumn("id", F.monotonically_increasing_id())
+    rows, _ = _classes(stored(texts, "texts"), least)
+    out = rows.select(F.col("name").alias(id), F.col("lead.name").alias("class_id"))
+    unnamed = named.filter(F.col("name").isNull())
+    return out.union(unnamed.select("name", F.lit(None).cast("long")))
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """One row of ``docs`` for each class of near-duplicates: the one with the smallest id. Rows
-    with a NULL id stay."""
-    heads = near_duplicates(docs, id, text, least).select(F.col("class_id").alias("__head")).dropna().distinct()
-    named = docs.join(heads, F.col(id) == F.col("__head"), "left_semi").dropDuplicates([id])
-    return named.union(docs.filter(F.col(id).isNull()))
+    """One row of ``docs`` for each class of near-duplicates: one with the smallest id. Rows with a
+    NULL id stay."""
+    small_batches(docs.sparkSession, BATCH_BYTES)
+    rows = docs.filter(F.col(id).isNotNull()).select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("id"))
+    rows = stored(rows, "texts")
+    texts = rows.select("id", F.col("row")[id].cast("long").alias("name"), F.col("row")[text].alias("text"))
+    _, leads = _classes(texts, least)
+    kept = rows.join(leads.select("lead.id"), "id", "left_semi").select("row.*")
+    return kept.union(docs.filter(F.col(id).isNull()))

@@ -46,7 +46,11 @@ def shingles(text, k=5):
     w = words(lower(text))
     if len(w) < k:
         return [tuple(w)] if w else []
-    return list(dict.fromkeys(tuple(w[i : i + k]) for i in range(len(w) - k + 1)))
+    seen, out = Counter(), []
+    for i in range(len(w) - k + 1):
+        seen[tuple(w[i : i + k])] += 1
+        out.append((*w[i : i + k], seen[tuple(w[i : i + k])]))
+    return out
 
 
 def near_duplicate_classes(docs, least=0.8):

@@ -239,14 +239,48 @@ def test_near_duplicates(documents, corpus):
     assert got == brute.near_duplicate_classes(corpus)
 
 
-def test_near_copies_that_repeat_their_text(spark):
+def test_repetitions_count(spark):
     rng = random.Random(12)
     rows = []
-    for i in range(12):
-        words = " ".join(f"p{i}q{rng.randrange(10**6)}" for _ in range(200))
-        rows += [(2 * i, words), (2 * i + 1, " ".join([words] * 4))]
+    for i in range(0, 40, 4):
+        words = [f"p{i}q{rng.randrange(10**6)}" for _ in range(60)]
+        once, many = " ".join(words), " ".join(words * 100)
+        rows += [(i, once), (i + 1, many), (i + 2, " ".join(words * 99)), (i + 3, once + " end")]
     out = ordered_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: r.class_id for r in out} == {i: i // 2 * 2 for i, _ in rows}
+    assert {r.doc_id: r.class_id for r in out} == {i: i // 4 * 4 + (i % 4 in (1, 2)) for i, _ in rows}
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    rng = random.Random(13)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6)]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[1]), (6, texts[2]), (6, texts[0] + " x"), (7, texts[3]), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, ordered_minhash.near_duplicates(docs).collect()))
+    assert got == [(5, 5), (5, 5), (5, 5), (6, 5), (6, 6), (7, 7), (7, 7)]
+    kept = [r.text for r in ordered_minhash.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([*texts[:4], None], key=str)
+
+
+def test_near_copies_are_found(spark):
+    """Scattered edits of one word and moved blocks; the pairs at 0.8 or more by the plain rule."""
+    rng = random.Random(14)
+    rows, wanted = [], {}
+    for i in range(0, 400, 2):
+        words = [f"v{rng.randrange(10**5)}" for _ in range(rng.randrange(80, 300))]
+        near = list(words)
+        for at in rng.sample(range(len(near)), len(near) // 50):
+            near[at] = "edited"
+        if i % 4:
+            near = near[30:] + near[:30] if len(near) > 240 else near
+        rows += [(i, " ".join(words)), (i + 1, " ".join(near))]
+        x, y = brute.shingles(rows[-2][1]), brute.shingles(rows[-1][1])
+        m = brute.lcs(x, y)
+        wanted[i + 1] = i if m >= 0.8 * (len(x) + len(y) - m) else i + 1
+    out = ordered_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {r.doc_id: r.class_id for r in out if r.doc_id % 2}
+    linked = [k for k, v in wanted.items() if v != k]
+    assert len(linked) > 100 and sum(got[k] == wanted[k] for k in linked) >= 0.99 * len(linked)
+    assert all(got[k] == k for k in wanted if wanted[k] == k)
 
 
 def test_one_of_each_class_stays(documents, corpus):
