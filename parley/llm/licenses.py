@@ -8,6 +8,7 @@ bounded-error matching decides there. Notices with no errors allowed are one pie
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -72,21 +73,58 @@ def _compiled(notices: tuple):
     return automaton, patterns
 
 
-def _candidates(normal: str, notices: tuple, automaton) -> dict[int, list[list[int]]]:
-    """For each notice the parts of the text to look at, merged where they overlap."""
-    parts: dict[int, list[list[int]]] = {}
+def _matches(pattern, normal: str, low: int, high: int, least: int) -> Iterator[tuple[int, int, int]]:
+    """The best match between two places, then those in what is left on both sides of it, as errors
+    and bounds without the spaces around."""
+    open_ = [(low, high)]
+    while open_:
+        low, high = open_.pop()
+        m = pattern.search(normal, low, high) if high - low >= least else None
+        if m is None or m.start() == m.end():
+            continue
+        a, b = m.span()
+        # Words that only touch the match with a space are not part of it.
+        yield sum(m.fuzzy_counts), a + (normal[a] == " "), b - (normal[b - 1] == " ")
+        open_ += [(low, min(a + 1, high - 1)), (max(b - 1, low + 1), high)]
+
+
+def _apart(matches: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Matches that do not overlap, those with fewer errors first, then the earlier ones."""
+    kept: list[tuple[int, int, int]] = []
+    for errors in sorted({e for e, _, _ in matches}):
+        new, i, end = [], 0, 0
+        for a, b in sorted((a, b) for e, a, b in matches if e == errors):
+            while i < len(kept) and kept[i][1] <= a:
+                i += 1
+            if a >= end and (i == len(kept) or b <= kept[i][0]):
+                new.append((a, b, errors))
+                end = b
+        kept = sorted(kept + new)
+    return kept
+
+
+def _found(normal: str, notices: tuple) -> Iterator[tuple[int, int, int, int]]:
+    """Bounds, notice and errors of all notices. Each seed's own surroundings are searched."""
+    automaton, patterns = _compiled(notices)
+    inexact: dict[int, set[tuple[int, int, int]]] = {}
+    sure: dict[int, int] = {}  # where the last match without errors ends
     for end, (size, places) in automaton.iter(normal):
         start = end + 1 - size
         for n, at in places:
             _, phrase, errors = notices[n]
+            if not errors:
+                yield start + 1, end, n, 0
+                continue
+            if end <= sure.get(n, 0):
+                continue
             low = max(0, start - at - errors)
-            high = start - at + len(phrase) + 2 + errors
-            own = parts.setdefault(n, [])
-            if own and errors and low <= own[-1][1]:
-                own[-1] = [min(low, own[-1][0]), max(high, own[-1][1])]
-            else:
-                own.append([low, high])
-    return parts
+            high = min(start - at + len(phrase) + 2 + errors, len(normal))
+            for found in _matches(patterns[n], normal, low, high, len(phrase) + 2 - errors):
+                inexact.setdefault(n, set()).add(found)
+                if not found[0] and found[1] <= start + 1:
+                    sure[n] = max(found[2], sure.get(n, 0))
+    for n, matches in inexact.items():
+        yield from ((a, b, n, errors) for a, b, errors in _apart(matches))
 
 
 def scan(text: bytes, notices: tuple = NOTICES) -> dict:
@@ -96,23 +134,12 @@ def scan(text: bytes, notices: tuple = NOTICES) -> dict:
     if not words:
         return found
     normal = f" {b' '.join(words).decode('utf-8', 'replace')} "
-    automaton, patterns = _compiled(notices)
-    spans = set()
-    for n, parts in _candidates(normal, notices, automaton).items():
-        size = len(notices[n][1])
-        for low, high in parts:
-            for m in patterns[n].finditer(normal, low, min(high, len(normal)), overlapped=not notices[n][2]):
-                # Words that only touch the match with a space are not part of it.
-                a, b = m.start(), m.end()
-                a, b = a + (normal[a] == " "), b - (normal[b - 1] == " ")
-                errors = sum(m.fuzzy_counts)
-                spans.add((a, b, n, errors, max(0.0, 1 - errors / size)))
     before, at = 0, 1  # words before the place
-    for a, b, n, errors, score in sorted(spans):
+    for a, b, n, errors in sorted(_found(normal, notices)):
         before, at = before + normal.count(" ", at, a), a
         found["spans"].append(
-            {"label": notices[n][0], "notice": n, "first": before,
-             "last": before + normal.count(" ", a, b), "errors": errors, "score": score}
+            {"label": notices[n][0], "notice": n, "first": before, "last": before + normal.count(" ", a, b),
+             "errors": errors, "score": max(0.0, 1 - errors / len(notices[n][1]))}
         )
     return found
 
@@ -124,9 +151,11 @@ def find_notices(docs: DataFrame, text: str = "text", notices: tuple = NOTICES)
 
     Words are runs of digits, letters a-z and non-ASCII characters after lower-casing A-Z. A notice
     starts and ends at a word boundary, give or take its errors. Places of notices without errors
-    are all reported, overlapping ones too; of one with errors, matches that do not overlap. NULL
-    and empty texts have no words and no notices. Rows are searched one by one, in whole; the time
-    grows in proportion to the text.
+    are all reported, overlapping ones too; of one with errors, the best match around each seed, and
+    of these the ones that do not overlap, fewest errors first, then the earlier. NULL and empty
+    texts have no words and no notices. Rows are searched one by one, in whole. Only as many
+    characters as a notice has are searched around a seed, so the time grows in proportion to the
+    text, however often a notice is nearly met.
     """
     small_batches(docs.sparkSession)
 

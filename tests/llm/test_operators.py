@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -91,6 +92,45 @@ def test_every_error_within_the_bound_is_found():
             assert n in {s["notice"] for s in found["spans"]}
 
 
+def test_no_notice_of_many_is_lost():
+    for phrase in ("all rights reserved", "all rights reservd", "mozilla public license", "mozila public licence"):
+        for between in (" ", ". ", " and so on "):
+            found = licenses.scan((between.join([phrase] * 1000)).encode())["spans"]
+            assert len(found) == 1000
+            width = len((phrase + between).replace(".", "").split())
+            assert [s["first"] for s in found] == list(range(0, 1000 * width, width))
+
+
+def test_matches_do_not_overlap_and_equal_a_plain_search():
+    notices = (("x", "ab cd ef gh", 2),)
+    rng = random.Random(3)
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randrange(1, 6)):
+            copy = list("ab cd ef gh")
+            for _ in range(rng.randrange(0, 4)):
+                copy[rng.randrange(len(copy))] = rng.choice("xyz")
+            parts.append("".join(copy) + rng.choice(["", " far away"]))
+        text = " ".join(parts)
+        got = [(s["first"], s["errors"]) for s in licenses.scan(text.encode(), notices)["spans"]]
+        place = 0
+        for part in parts:  # as long as only letters are exchanged, each copy is found at its place
+            wrong = sum(x != y for x, y in zip(part, "ab cd ef gh", strict=False))
+            if wrong <= 2:
+                assert any(e <= wrong and abs(first - place) <= 1 for first, e in got), (text, got)
+            place += len(part.split())
+        spans = licenses.scan(text.encode(), notices)["spans"]
+        assert len({s["first"] for s in spans}) == len(spans)
+
+
+def test_near_misses_take_time_in_proportion():
+    began = time.process_time()
+    found = licenses.scan(b"all rights reservd " * 25_000)["spans"]
+    found += licenses.scan(b"all rights resrvd " * 25_000)["spans"]
+    assert len(found) == 25_000
+    assert time.process_time() - began < 20
+
+
 # ---- 2 ----
 
 
