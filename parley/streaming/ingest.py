@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from parley.operators.clean import clean_records
@@ -22,6 +24,23 @@ def stream_ingest(
     return _available(writer, checkpoint, continuous).start()
 
 
+def once(rows: DataFrame, key: str = "id", within: str = "30 days") -> DataFrame:
+    """Each key of a stream once, the first row that arrives: files delivered again, under whatever
+    name and after whatever restart, add nothing.
+
+    The state store holds one entry per key for the time ``within`` after its arrival. Arrival, not
+    the rows' own time, moves the watermark, so no row is ever dropped for being late. Keys seen
+    again later than that pass; :func:`skip_done` compares with all that is written. Rows
+    without a key are the same only if all their columns are (maps excepted). For many keys choose the
+    state store on disk (``spark.sql.streaming.stateStore.providerClass``).
+    """
+    plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    whole = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in plain]), {"ignoreNullFields": "false"}), 256)
+    marked = rows.withColumns({"__arrived": F.current_timestamp(), "__row": F.when(F.col(key).isNull(), whole)})
+    marked = marked.withWatermark("__arrived", within).dropDuplicatesWithinWatermark([key, "__row"])
+    return marked.drop("__arrived", "__row")
+
+
 def stream_batches(
     rows: DataFrame, path: str, checkpoint: str, continuous: str | None = None
 ) -> StreamingQuery:
@@ -66,5 +85,3 @@ def finish(query: StreamingQuery, seconds: int | None = None) -> StreamingQuery:
         query.stop()
         raise TimeoutError(f"stream still running after {seconds} s")
     return query
-
-
