@@ -337,6 +337,20 @@ def _rules_case(text: str, rules, default: str) -> str:
     ) + f" else '{default}' end"
 
 
+KEYWORD_ANSWERS = f"""with {RAW},
+eligible as (
+  select conversation[1].content as prompt from raw
+  where language = 'English' and conversation[1].role = 'user'
+    and length(conversation[1].content) > 5 and length(conversation[1].content) < 10000
+    and floor(length(conversation[1].content) / 4) + 120 < 4046),
+sorted as (select *, {_rules_case('lower(prompt)', params.ANNOTATION_CATEGORIES, 'Other')} as category,
+  {_rules_case('lower(prompt)', params.ANNOTATION_LANGUAGES, 'None')} as spoken,
+  regexp_extract(prompt, '\\b[A-Za-z.]*(?:Error|Exception)\\b') as message from eligible)
+select substr(prompt, 1, 100) as prompt_preview, category,
+  case when category = 'Coding' then spoken else 'None' end as language,
+  case when category = 'Coding' and message <> '' then message else 'None' end as error
+from sorted"""
+
 ORACLES: dict[str, str] = {
     "topic_stats": f"""with {HEADERS},
 kept as (select * from headers where topic <> 'General / Noise')
@@ -464,6 +478,12 @@ select n as n_docs, round(mean_length, 6) as mean_length from stats""",
     "clean_records": CLEAN_RESULT,
     "stream_ingest": CLEAN_RESULT,
     "fact_written": CLEAN_RESULT,
+    "stream_once": CLEAN_RESULT,
+    "fact_interleaved": f"""with {DOC_FACT}
+select topic, model_family, count(*) as n, min(timestamp) as first, max(timestamp) as last
+from doc_fact group by topic, model_family""",
+    "distinct_users": f"""with {FACT}
+select topic, count(distinct hashed_ip) as n_users, true as within from fact group by topic""",
     "pca": """select cast(c as integer) as component, n, 0.0 as mean, true as ordered, true as uncorrelated
 from (select count(*) as n from embeddings), (select unnest(range(5)) as c)""",
     "kmeans": "select vec_id, true as nearest, true as known from embeddings",
@@ -603,19 +623,8 @@ select doc_id, cast(length(t) as integer) as n, md5(t) as digest from t""",
     else concat('L', event_id % 10) end as language,
   case event_id % 6 when 1 then null else 'None' end as error
 from events""",
-    "annotate_prompts": f"""with {RAW},
-eligible as (
-  select conversation[1].content as prompt from raw
-  where language = 'English' and conversation[1].role = 'user'
-    and length(conversation[1].content) > 5 and length(conversation[1].content) < 10000
-    and floor(length(conversation[1].content) / 4) + 120 < 4046),
-sorted as (select *, {_rules_case('lower(prompt)', params.ANNOTATION_CATEGORIES, 'Other')} as category,
-  {_rules_case('lower(prompt)', params.ANNOTATION_LANGUAGES, 'None')} as spoken,
-  regexp_extract(prompt, '\\b[A-Za-z.]*(?:Error|Exception)\\b') as message from eligible)
-select substr(prompt, 1, 100) as prompt_preview, category,
-  case when category = 'Coding' then spoken else 'None' end as language,
-  case when category = 'Coding' and message <> '' then message else 'None' end as error
-from sorted""",
+    "annotate_prompts": KEYWORD_ANSWERS,
+    "annotations_csv": KEYWORD_ANSWERS,
     "profile_json": """select event_type, count(*) as num_items,
   array_to_string(json_keys(arg_min(props, event_id)), ', ') as keys, arg_min(props, event_id) as first_item
 from events group by 1""",

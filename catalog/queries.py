@@ -26,6 +26,7 @@ from parley.operators import (
     minibatch,
     sandbox,
     search,
+    sketches,
     style,
     summary,
     topics,
@@ -33,7 +34,7 @@ from parley.operators import (
 )
 from parley.plans import build, incremental
 from parley.session import shared_path
-from parley.sources import buckets, readers, tables
+from parley.sources import buckets, interleave, readers, tables
 from parley.streaming import ingest, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -359,6 +360,18 @@ def stream_totals(spark, sf):
     return written.select(*[F.lit(n).cast("long").alias(c) for c, n in zip(("rows", "rows_read", "rows_kept"), counts[0], strict=True)], "written")
 
 
+@query
+def stream_once(spark, sf):
+    """All records arrive, then all again in other files after a restart: each id is written once."""
+    path = shared_path(spark, "once")
+    docs = views.table(spark, sf, "documents")
+    for _ in range(2):
+        docs.write.mode("append").parquet(f"{path}/in")
+        raw = views.raw_from(spark.readStream.schema(docs.schema).parquet(f"{path}/in"))
+        ingest.finish(ingest.stream_batches(ingest.once(clean.clean_records(raw)), f"{path}/out", f"{path}/state"))
+    return _clean_columns(tables.read_fact(spark, f"{path}/out/batch=*"))
+
+
 @query
 def resume_skip(spark, sf):
     done = views.table(spark, sf, "labels").select(F.md5(F.col("doc_id").cast("string")).alias("id"))
@@ -376,6 +389,28 @@ def fact_written(spark, sf):
     return _clean_columns(tables.read_fact(spark, path))
 
 
+@query
+def fact_interleaved(spark, sf):
+    """Written in interleaved order and read back."""
+    path = shared_path(spark, "interleaved")
+    interleave.write_interleaved(views.doc_fact(spark, sf), path)
+    return tables.read_fact(spark, path).groupBy("topic", "model_family").agg(
+        F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last")
+    )
+
+
+@query
+def distinct_users(spark, sf):
+    """Exact counts, and whether the ones from merged sketches are within their error."""
+    fact = views.fact(spark, sf)
+    exact = sketches.distinct_users(fact)
+    fine = sketches.user_sketches(fact, ["topic", "model_family"])
+    near = sketches.estimated_users(sketches.merged_sketches(fine, ["topic"])).withColumnRenamed("n_users", "near")
+    off = F.abs(F.col("near") - F.col("n_users"))
+    joined = exact.join(near.withColumnRenamed("topic", "t"), F.col("topic").eqNullSafe(F.col("t")))
+    return joined.select("topic", "n_users", (off <= F.greatest(F.lit(1.0), sketches.ERROR * F.col("n_users"))).alias("within"))
+
+
 @query
 def conversation_by_id_written(spark, sf):
     """Through the written table, whose files have Bloom filters on the id."""
@@ -755,6 +790,14 @@ def annotate_prompts(spark, sf):
     return annotate.annotations(prompts.withColumn("answer", answer))
 
 
+@query
+def annotations_csv(spark, sf):
+    """Appended as CSV and read back; the text None is no gap."""
+    path = shared_path(spark, "annotations")
+    tables.write_csv(annotate_prompts(spark, sf), path, append=True)
+    return readers.read_annotations(spark, path)
+
+
 @query
 def profile_json(spark, sf):
     events = views.table(spark, sf, "events").select("event_type", "event_id", "props")

@@ -47,10 +47,13 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+# A header, doubled quotes, and texts with the white space they have.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str, append: bool = False) -> None:
     """A folder of CSV files, each with a header."""
-    writer = df.write.mode("append" if append else "overwrite")
-    writer.options(header=True, escape='"').csv(path)
+    df.write.mode("append" if append else "overwrite").options(**CSV).csv(path)
 
 
 def add_embeddings(embeddings: DataFrame, path: str) -> None:

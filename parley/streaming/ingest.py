@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from parley.operators.clean import clean_records
+from parley.sources.tables import CSV
 
 
 def _available(writer: DataStreamWriter, checkpoint: str, continuous: str | None) -> DataStreamWriter:
@@ -56,7 +57,7 @@ def stream_csv(
     rows: DataFrame, path: str, checkpoint: str, continuous: str | None = None
 ) -> StreamingQuery:
     """Append rows as CSV files with headers; used for annotations."""
-    writer = rows.writeStream.format("csv").options(path=path, header=True, escape='"')
+    writer = rows.writeStream.format("csv").options(path=path, **CSV)
     return _available(writer, checkpoint, continuous).start()
 
 

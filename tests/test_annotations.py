@@ -134,3 +134,11 @@ def test_guarded_sql_caps_rows(spark):
 def test_json_records(spark):
     df = spark.sql("select 'a' as id, cast(null as string) as topic, timestamp_ntz'2024-01-02 03:04:05' as t")
     assert tables.json_records(df).first().record == '{"id":"a","topic":null,"t":"2024-01-02T03:04:05.000"}'
+
+
+def test_csv_keeps_white_space(spark, tmp_path):
+    rows = [("  a, b ", "Coding", "None", 'say "x"\n '), ("tab\t", None, "Python", None)]
+    table = spark.createDataFrame(rows, ANNOTATION)
+    tables.write_csv(table, str(tmp_path), append=True)
+    tables.write_csv(table.limit(0), str(tmp_path), append=True)
+    assert sorted(map(tuple, readers.read_annotations(spark, str(tmp_path)).collect())) == sorted(rows)
