@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from itertools import accumulate, chain
-from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -21,26 +20,71 @@ from pyspark.sql import types as T
 
 from parley.llm.arrow import small_batches, thrifty
 from parley.llm.store import stored
-from parley.llm.words import bytes_of, mix, row_chunks
+from parley.llm.words import LOWER, SPACE, bytes_of, mix, row_chunks, span_hashes
 
 LENGTH = 4096
 DIMENSIONS, BITS = 4, 10
 SPREAD = 0.25  # mean signs beyond this are cut off at the border cell
-CACHED_WORDS = 120_000
-KEPT_BYTES = 64  # longer words, such as encoded data, are not kept
+CACHED_WORDS = 1 << 19  # and at most eight ids a word
 BATCH_BYTES = 4 << 20
+PARTS = 1024  # rows of ids sent at once
 
-_BEFORE_SPACE = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
-_PLAIN = re.compile(rb"[a-z]+")
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_COMBINING = re.compile(rb"[\xcc\xcd]|<\|")
+_SMALL = np.zeros(256, dtype=bool)
+_SMALL[ord("a") : ord("z") + 1] = True
+_SYMBOL = np.array([chr(i).isprintable() and not chr(i).isalnum() and chr(i) not in " '" and i < 128 for i in range(256)])
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+
+
+def _byte_symbols() -> dict[int, str]:
+    """The characters that byte-level models read in place of bytes: printable ones stand for
+    themselves, the others for the characters from 256 on, in their order."""
+    kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    moved = [b for b in range(256) if b not in kept]
+    return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(moved)}
+
+
+_BYTE_SYMBOLS = _byte_symbols()
+
+
+def pieces(data: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of some texts (row i is ``own[i]:own[i + 1]``), lower-cased, and the first and last
+    places of the pieces that a tokenizer that drops white space treats one by one.
+
+    A piece ends at white space, and between a letter and a symbol other than the apostrophe: that
+    leaves fewer different pieces than words. Texts with marks that combine with a letter, or that
+    could hold special tokens, are cut at white space only and not lower-cased.
+    """
+    n = len(data)
+    low = LOWER[data]
+    inside = ~SPACE[data]
+    cut = np.zeros(n + 1, dtype=bool)
+    cut[own] = True
+    letter = _SMALL[low]
+    latin = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    letter[1:] |= latin
+    between = letter[:-1] & _SYMBOL[data[1:]]
+    odd = (data == 0xCC) | (data == 0xCD)
+    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    if odd.any():
+        rows = np.zeros(len(own) - 1, dtype=bool)
+        rows[np.searchsorted(own, np.flatnonzero(odd), side="right") - 1] = True
+        odd = np.repeat(rows, np.diff(own))
+        low[odd] = data[odd]
+        between &= ~odd[1:]
+    cut[1:n] |= between
+    before = np.ones(n, dtype=bool)
+    before[1:] = ~inside[:-1]
+    after = np.ones(n, dtype=bool)
+    after[:-1] = ~inside[1:]
+    return low, np.flatnonzero(inside & (before | cut[:-1])), np.flatnonzero(inside & (after | cut[1:])) + 1
 
 
 class WordIds:
     """Token ids of texts, for tokenizers that drop white space and treat words one by one.
 
-    A text's ids are then those of its words, so each word is encoded when it is first met, and
-    kept while it is in use: two generations of at most ``limit`` words each.
+    A text's ids are then those of its pieces. Each is encoded when it is first met, and kept, by
+    its 64-bit hash, in a table of open addresses; the table is emptied when it holds ``limit``
+    pieces or eight times as many ids.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
@@ -48,64 +92,95 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        # Whether a plain word reaches the model as it is, so that it can be asked directly.
-        model = self.tokenizer.model
-        self.plain = all(
-            self.tokenizer.encode(w, add_special_tokens=False).ids == [t.id for t in model.tokenize(w)]
-            for w in ("a", "the", "tokenizer", "zqxj", "s", "re")
+        # Whether a word of letters reaches the model as its bytes, so that it can be asked directly.
+        self.direct = all(
+            self.tokenizer.encode(w, add_special_tokens=False).ids == self._asked(w.encode())
+            for w in ("a", "the", "tokenizer", "zqxj", "s", "re", "é", "straße", "ñandú", "àßÿ")
         )
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    @staticmethod
-    def words(text: bytes) -> list[bytes]:
-        # The tokenizer lower-cases, and ends a word between a letter and a full stop or comma; to
-        # do so here leaves fewer different words. Not before marks that combine with a letter, and
-        # not in texts that could hold special tokens.
-        if not _COMBINING.search(text):
-            text = _BEFORE_SPACE.sub(rb" \1", text.lower())
-        return text.split()
-
-    def learn(self, new: set[bytes]) -> None:
-        plain, other = [], []
-        tokenize = self.tokenizer.model.tokenize
-        for w in new:
-            if w in self.old:
-                self.young[w] = self.old[w]
-            elif self.plain and _PLAIN.fullmatch(w):
-                ids = [t.id for t in tokenize(w.decode())]
-                self.young[w] = pack_ids(f"<{len(ids)}I", *ids)
-            elif _LETTERS.fullmatch(w.decode()):
-                plain.append(w)
-            else:
-                other.append(w)
-        if plain:
-            e = self.tokenizer.encode(b" ".join(plain).decode(), add_special_tokens=False)
-            ids = np.array(e.ids, dtype="<u4")
-            ends = np.flatnonzero(np.diff(np.array(e.word_ids), append=-1)) + 1
-            if len(ends) == len(plain):
-                for w, a, b in zip(plain, chain([0], ends), ends, strict=False):
-                    self.young[w] = ids[a:b].tobytes()
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys = np.zeros(1, dtype=np.uint64)  # 0: free
+        self.nth = np.zeros(1, dtype=np.int32)
+        self.known = np.zeros(0, dtype=np.uint64)
+        self.ends = np.zeros(1, dtype=np.int64)
+        self.flat = np.zeros(0, dtype="<u4")
+
+    def _asked(self, word: bytes) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(word.decode("latin-1").translate(_BYTE_SYMBOLS))]
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of the pieces, -1 where one is not known."""
+        found = np.full(len(hashes), -1, dtype=np.int64)
+        mask = len(self.keys) - 1
+        left, slot = np.arange(len(hashes)), (hashes & np.uint64(mask)).astype(np.int64)
+        while len(left):
+            there = self.keys[slot]
+            hit = there == hashes[left]
+            found[left[hit]] = self.nth[slot[hit]]
+            on = ~hit & (there != 0)
+            left, slot = left[on], (slot[on] + 1) & mask
+        return found
+
+    def _place(self, hashes: np.ndarray, first: int) -> None:
+        """Different hashes, none of them in the table, into free slots."""
+        mask = len(self.keys) - 1
+        left, slot = np.arange(len(hashes)), (hashes & np.uint64(mask)).astype(np.int64)
+        while len(left):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = hashes[left[free]]
+            done = self.keys[slot] == hashes[left]
+            self.nth[slot[done]] = first + left[done]
+            left, slot = left[~done], (slot[~done] + 1) & mask
+
+    def learn(self, new: list[bytes], hashes: np.ndarray) -> None:
+        ids: list = [None] * len(new)
+        other = []
+        for i, w in enumerate(new):
+            if self.direct and _LETTERS.fullmatch(w.decode()):
+                ids[i] = self._asked(w)
             else:
-                other += plain
-        if other:
-            found = self.tokenizer.encode_batch([w.decode() for w in other], add_special_tokens=False)
-            for w, e in zip(other, found, strict=True):
-                self.young[w] = np.array(e.ids, dtype="<u4").tobytes()
+                other.append(i)
+        found = self.tokenizer.encode_batch([new[i].decode() for i in other], add_special_tokens=False)
+        for i, e in zip(other, found, strict=True):
+            ids[i] = e.ids
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), dtype="<u4", count=int(sizes.sum()))])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        before = len(self.known)
+        self.known = np.concatenate([self.known, hashes])
+        if 2 * len(self.known) > len(self.keys):
+            size = 1 << (4 * len(self.known)).bit_length()
+            self.keys, self.nth = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.int32)
+            self._place(self.known, 0)
+        else:
+            self._place(hashes, before)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.young) > self.limit:
-            self.young, self.old = {}, self.young
-        rows = [self.words(t) for t in texts]
-        new = set(chain.from_iterable(rows)).difference(self.young)
-        self.learn(new)
-        get = self.young.__getitem__
-        found = [b"".join(map(get, r)) for r in rows]
-        for w in new:
-            if len(w) > KEPT_BYTES:
-                del self.young[w]
-        return found
+        own = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        ids, sizes = self.ids_of(np.frombuffer(b"".join(texts), dtype=np.uint8), own)
+        return [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+
+    def ids_of(self, data: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that lie side by side, one after the other, and how many each has."""
+        if len(self.known) > self.limit or len(self.flat) > 8 * self.limit:
+            self.forget()
+        low, starts, ends = pieces(data, own)
+        hashes = np.maximum(span_hashes(low, starts, ends), np.uint64(1))
+        nth = self._find(hashes)
+        if (nth < 0).any():
+            missing = np.flatnonzero(nth < 0)
+            new, at = np.unique(hashes[missing], return_index=True)
+            at = missing[at]
+            text = low.tobytes()
+            self.learn([text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)], new)
+            nth[missing] = self._find(hashes[missing])
+        sizes = self.ends[nth + 1] - self.ends[nth]
+        stops = np.cumsum(sizes)
+        total = int(stops[-1]) if len(stops) else 0
+        ids = self.flat[np.repeat(self.ends[nth] - (stops - sizes), sizes) + np.arange(total)]
+        return ids, np.diff(np.concatenate([[0], stops])[np.searchsorted(starts, own)])
 
 
 _known: dict[str, WordIds] = {}
@@ -161,35 +236,38 @@ def _tokenized(path: str, end_id: int, length: int):
         words = word_ids(path)
         table = signs(max(words.tokenizer.get_vocab_size(), end_id + 1))
         uid = TaskContext.get().partitionId() << 33
-        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             data, offsets = bytes_of(batch.column(1))
             for low, high in row_chunks(offsets):
-                texts = [data[a:b].tobytes() for a, b in zip(offsets[low:high], offsets[low + 1 : high + 1], strict=True)]
-                rows = [x + end for x in words.ids(texts)]
-                sizes = np.array([len(r) // 4 for r in rows])
-                ids = np.frombuffer(b"".join(rows), dtype="<u4")
-                firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                means = np.add.reduceat(table[ids], firsts, axis=0) / sizes[:, None]
+                own = offsets[low : high + 1]
+                ids, sizes = words.ids_of(data[own[0] : own[-1]], own - own[0])
+                ids, sizes = np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
+                stops = np.cumsum(sizes)
+                means = np.add.reduceat(table[ids], stops - sizes, axis=0) / sizes[:, None]
                 cells = np.clip((means / SPREAD + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1)
                 keys = hilbert_keys(cells.astype(np.int64))
                 # A row holds at most ``length`` ids, however long its document.
                 parts = -(-sizes // length)
                 row = np.repeat(np.arange(high - low), parts)
                 start = (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * length
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(uid + row),
-                        batch.column(0).slice(low, high - low).take(pa.array(row)),
-                        pa.array(keys[row]),
-                        pa.array(sizes[row]),
-                        pa.array(start),
-                        pa.array([rows[r][s * 4 : (s + length) * 4] for r, s in zip(row, start, strict=True)], pa.binary()),
-                    ],
-                    ["uid", "id", "curve", "doc_tokens", "start", "ids"],
-                )
+                at = np.append((stops - sizes)[row] + start, len(ids))  # parts follow each other
+                for p in range(0, len(row), PARTS):
+                    some = slice(p, p + PARTS)
+                    edges = at[p : p + PARTS + 1]
+                    held = pa.py_buffer(ids[edges[0] : edges[-1]].tobytes())
+                    places = pa.py_buffer(((edges - edges[0]) * 4).astype(np.int32).tobytes())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(uid + row[some]),
+                            batch.column(0).take(pa.array(low + row[some])),
+                            pa.array(keys[row[some]]),
+                            pa.array(sizes[row[some]]),
+                            pa.array(start[some]),
+                            pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, places, held]),
+                        ],
+                        ["uid", "id", "curve", "doc_tokens", "start", "ids"],
+                    )
                 uid += high - low
-        words.old = {}  # an idle worker keeps one generation
 
     return run
 
