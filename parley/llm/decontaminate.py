@@ -5,6 +5,9 @@ of items with up to s shingles, a document is a set of windows of 2 s shingles t
 so an item that stands in the document stands in one window whole, and its share of that window is
 bounded below whatever the length of the document. One equal minimum out of ``PERMUTATIONS`` makes
 a candidate; its containment in the whole document is then counted on the words themselves.
+
+Minima are joined by equality on the executors. A filter of bounded size over the items' minima goes
+to the documents first, so those that no item touches send nothing.
 """
 
 from __future__ import annotations
@@ -16,14 +19,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.arrow import small_batches
-from parley.llm.words import LOWER, mix, word_chunks
+from parley.llm.arrow import small_batches, thrifty
+from parley.llm.store import stored
+from parley.llm.words import mix, word_chunks
 
 SHINGLE = 5
 CONTAINMENT = 0.8
 PERMUTATIONS = 32  # at containment 0.8 a window shares at least 0.19 with an item: 0.1 % missed
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 BATCH_BYTES = 4 << 20
+FILTER_BITS = 1 << 27  # at the most: 16 MB on the driver and on each worker
+BITS_PER_KEY = 256
+SALTS = 8
+SEEN = 10_000  # texts that a task remembers having sent
 
 _MULTIPLIERS = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -38,98 +46,179 @@ def shingles_of(text: bytes) -> set[tuple[bytes, ...]]:
     return {tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
 
 
-class ItemIndex:
-    """Minima of a block of items, by class of size and permutation."""
+def _keys(minima: np.ndarray, size_class: int, permutation: int) -> np.ndarray:
+    """Minima as keys that differ by class of size and permutation."""
+    salt = mix(np.array([size_class * PERMUTATIONS + permutation + 1], dtype=np.uint64))
+    return mix(minima ^ salt)
+
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.ids = [i for i, _ in items]
-        self.shingles = [shingles_of(t.encode()) for _, t in items]
-        hashes: list[np.ndarray] = []
-        for chunk in word_chunks(pa.array([t for _, t in items], pa.string()), lower=True):
+def _item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item, class, keys) of each item with a shingle; its class is the exponent of its size."""
+    for batch in batches:
+        for chunk in word_chunks(batch.column(1), lower=True):
             grams, whole = chunk.grams(SHINGLE)
-            for a, b in zip(chunk.bounds, chunk.bounds[1:], strict=False):
-                hashes.append(np.unique(grams[a:b][whole[a:b]]))
-        sizes = np.array([len(h) for h in hashes])
-        self.classes: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-        for exponent in np.unique(np.ceil(np.log2(sizes[sizes > 0])).astype(int)):
-            members = np.flatnonzero((sizes > 1 << exponent >> 1) & (sizes <= 1 << exponent))
-            if exponent == 0:
-                members = np.flatnonzero(sizes == 1)
-            tables = []
-            for a in _MULTIPLIERS:
-                minima = np.array([(hashes[m] * a).min() for m in members], dtype=np.uint64)
-                order = np.argsort(minima)
-                seen = np.zeros(1 << 16, dtype=bool)
-                seen[(minima >> np.uint64(48)).astype(np.int64)] = True
-                tables.append((seen, minima[order], members[order]))
-            self.classes[1 << int(exponent)] = tables
-
-
-def _candidates(chunk, index: ItemIndex) -> set[tuple[int, int]]:
-    """(row, item) pairs with an equal minimum in some window."""
+            rows, classes, keys = [], [], []
+            for r, (a, b) in enumerate(zip(chunk.bounds, chunk.bounds[1:], strict=False)):
+                hashes = np.unique(grams[a:b][whole[a:b]])
+                if len(hashes):
+                    rows.append(chunk.first_row + r)
+                    classes.append((len(hashes) - 1).bit_length())
+                    minima = [(hashes * m).min(keepdims=True) for m in _MULTIPLIERS]
+                    keys.append(np.concatenate([_keys(x, classes[-1], j) for j, x in enumerate(minima)]).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(classes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                ["item", "class", "keys"],
+            )
+
+
+def _positions(key, bits: int) -> list:
+    """The two places of a key in a filter of ``bits`` bits."""
+    return [key.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(key, 32).bitwiseAND(F.lit(bits - 1))]
+
+
+def _key_filter(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter over the column ``key``, gathered as words of 64 bits."""
+    n = keys.count()
+    bits = min(FILTER_BITS, max(1 << 16, 1 << (BITS_PER_KEY * n).bit_length()))
+    at = F.explode(F.array(*_positions(F.col("key"), bits))).alias("at")
+    words = keys.select(at).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
+    )
+    found = words.toArrow()
+    out = np.zeros(bits >> 6, dtype=np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _in_filter(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    last = np.uint64(len(words) * 64 - 1)
+    hit = np.ones(len(keys), dtype=bool)
+    for at in (keys & last, (keys >> np.uint64(32)) & last):
+        hit &= (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return hit
+
+
+def _hits(chunk, classes: list[int], words: np.ndarray) -> dict[int, list[np.ndarray]]:
+    """For rows of the chunk the keys of their windows that the filter holds."""
     grams, whole = chunk.grams(SHINGLE)
     hashes = grams[whole]
+    found: dict[int, list[np.ndarray]] = {}
     if not len(hashes):
-        return set()
+        return found
     counts = np.maximum(0, chunk.counts - (SHINGLE - 1))
     firsts = np.cumsum(counts) - counts
     layout = {}
-    for size in index.classes:
-        blocks = -(-counts // size)
+    for c in classes:
+        blocks = -(-counts // (1 << c))
         row = np.repeat(np.arange(len(counts)), blocks)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        layout[size] = (firsts[row] + nth * size, row, row[1:] == row[:-1])
-    found: set[tuple[int, int]] = set()
-    for j, a in enumerate(_MULTIPLIERS):
-        ordered = hashes * a
-        for size, (starts, row, joined) in layout.items():
+        layout[c] = (firsts[row] + (nth << c), row, row[1:] == row[:-1])
+    for j, m in enumerate(_MULTIPLIERS):
+        ordered = hashes * m
+        for c, (starts, row, joined) in layout.items():
             minima = np.minimum.reduceat(ordered, starts)
             minima[:-1] = np.where(joined, np.minimum(minima[:-1], minima[1:]), minima[:-1])
-            seen, values, members = index.classes[size][j]
-            at = np.flatnonzero(seen[(minima >> np.uint64(48)).astype(np.int64)])
-            if len(at):
-                low = np.searchsorted(values, minima[at], side="left")
-                high = np.searchsorted(values, minima[at], side="right")
-                for p in np.flatnonzero(high > low):
-                    found.update((int(row[at[p]]), int(m)) for m in members[low[p] : high[p]])
+            keys = _keys(minima, c, j)
+            at = np.flatnonzero(_in_filter(keys, words))
+            for r, k in zip(row[at].tolist(), at.tolist(), strict=True):
+                found.setdefault(r, []).append(keys[k])
     return found
 
 
-def find_in(texts: pa.Array, index: ItemIndex, containment: float) -> list[list[dict]]:
-    """For each text the items contained in it, by their id."""
-    out: list[list[dict]] = [[] for _ in range(len(texts))]
-    for chunk in word_chunks(texts, lower=True):
-        by_row: dict[int, list[int]] = {}
-        for row, item in _candidates(chunk, index):
-            by_row.setdefault(row, []).append(item)
-        for row, items in by_row.items():
-            own = shingles_of(chunk.data[chunk.offsets[row] : chunk.offsets[row + 1]].tobytes())
-            for item in items:
-                share = len(index.shingles[item] & own) / len(index.shingles[item])
-                if share >= containment:
-                    out[chunk.first_row + row].append({"item": index.ids[item], "containment": share})
-    return [sorted(x, key=lambda r: r["item"]) for x in out]
+def _touched(shared, classes: list[int]):
+    """(doc, text, keys) of the texts that hold a key of the items, as the filter sees it."""
+
+    @thrifty
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        seen: set[str] = set()
+        for batch in batches:
+            for chunk in word_chunks(batch.column(1), lower=True):
+                names, texts, keys = [], [], []
+                for r, own in _hits(chunk, classes, words).items():
+                    name = batch.column(0)[chunk.first_row + r].as_py()
+                    if name in seen:
+                        continue
+                    if len(seen) == SEEN:
+                        seen.clear()
+                    seen.add(name)
+                    names.append(name)
+                    texts.append(chunk.data[chunk.offsets[r] : chunk.offsets[r + 1]].tobytes())
+                    keys.append(np.unique(np.array(own, dtype=np.uint64)).view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.string()), pa.array(texts, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    ["doc", "text", "keys"],
+                )
+
+    return run
 
 
-_FOUND = pa.list_(pa.struct([("item", pa.int64()), ("containment", pa.float64())]))
+def shares(text: bytes, items: list[bytes]) -> list[float]:
+    """The part of each item's distinct shingles that is in ``text``. Shingles with an equal hash are
+    compared by their words; the text's other shingles are never held as words."""
+    wanted = [shingles_of(t) for t in items]
+    anything = set().union(*wanted)
+    hashes = [c.grams(SHINGLE)[0][c.grams(SHINGLE)[1]] for c in word_chunks(pa.array([b"\n".join(items)], pa.binary()), lower=True)]
+    hashes = np.unique(np.concatenate(hashes))
+    there: set[tuple[bytes, ...]] = set()
+    for chunk in word_chunks(pa.array([text], pa.binary()), lower=True):
+        grams, whole = chunk.grams(SHINGLE)
+        for p in np.flatnonzero(whole & np.isin(grams, hashes)):
+            shingle = tuple(chunk.data[a:b].tobytes() for a, b in zip(chunk.starts[p : p + SHINGLE], chunk.ends[p : p + SHINGLE], strict=True))
+            if shingle in anything:
+                there.add(shingle)
+    return [len(w & there) / len(w) for w in wanted]
 
 
-def item_blocks(items: DataFrame, id: str, text: str, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``block_bytes`` of text, dealt by hash."""
-    items = items.select(F.col(id).cast("long").alias("i"), F.col(text).alias("t")).dropna()
-    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    for b in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b) if blocks > 1 else items
-        yield [(r.i, r.t) for r in part.collect()]
+def _verified(containment: float):
+    @thrifty
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, items, parts = [], [], []
+            for name, text, asked in zip(*(batch.column(c) for c in ("doc", "text", "asked")), strict=True):
+                asked = asked.as_py()
+                for x, share in zip(asked, shares(text.as_py(), [x["text"].encode() for x in asked]), strict=True):
+                    if share >= containment:
+                        docs.append(name.as_py())
+                        items.append(x["item"])
+                        parts.append(share)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs, pa.string()), pa.array(items, pa.string()), pa.array(parts, pa.float64())], ["doc", "item", "containment"]
+            )
 
+    return run
 
-def _search(index, containment: float):
-    @F.arrow_udf("array<struct<item:bigint,containment:double>>")
-    def search(texts: pa.Array) -> pa.Array:
-        return pa.array(find_in(texts, index.value, containment), type=_FOUND)
 
-    return search
+def _salted(big: DataFrame, small: DataFrame, key: str, by: str) -> DataFrame:
+    """An inner join on ``key`` in which one value's rows of ``big`` are dealt into parts by ``by``."""
+    salt = F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return big.withColumn("__salt", salt).join(small.withColumn("__salt", every), [key, "__salt"]).drop("__salt")
+
+
+def contained(docs: DataFrame, items: DataFrame, containment: float, block_bytes: int) -> DataFrame:
+    """(doc, items) for the texts of ``docs`` (doc: their MD5, text) that contain an item of ``items``
+    (id, text): its id and the share of its distinct shingles that is there, by id."""
+    spark = docs.sparkSession
+    named = stored(items.dropna().select("id", F.md5("text").alias("item"), "text"), "items")
+    texts = stored(named.groupBy("item").agg(F.first("text").alias("text")), "item-texts")
+    minima = stored(texts.mapInArrow(_item_keys, "item string, class int, keys array<bigint>"), "item-minima")
+    classes = sorted(r[0] for r in minima.select("class").distinct().collect())  # exponents of sizes: some dozens at the most
+    keys = minima.select("item", F.explode("keys").alias("key"))
+    shared = spark.sparkContext.broadcast(_key_filter(keys.select("key")))
+    touched = docs.mapInArrow(_touched(shared, classes), "doc string, text binary, keys array<bigint>")
+    touched = stored(touched.groupBy("doc").agg(F.first("text").alias("text"), F.first("keys").alias("keys")), "touched")
+    pairs = _salted(touched.select("doc", F.explode("keys").alias("key")), keys, "key", "doc").select("doc", "item").distinct()
+    pairs = stored(_salted(pairs, texts, "item", "doc"), "candidates")
+    # Where a text has many candidates they are looked at in parts of about ``block_bytes``.
+    parts = pairs.groupBy("doc").agg(F.ceil(F.sum(F.octet_length("text")) / block_bytes).alias("parts"))
+    asked = pairs.join(parts, "doc").groupBy("doc", F.pmod(F.xxhash64("item"), "parts").alias("part"))
+    asked = asked.agg(F.collect_list(F.struct("item", "text")).alias("asked"))
+    asked = touched.select("doc", "text").join(asked, "doc").select("doc", "text", "asked")
+    found = asked.mapInArrow(_verified(containment), "doc string, item string, containment double")
+    found = _salted(found, named.select("item", "id"), "item", "doc")
+    found = found.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct(F.col("id").alias("item"), "containment"))).alias("items"))
+    return stored(found, "contained")
 
 
 def find_items(
@@ -148,18 +237,31 @@ def find_items(
     id or text have no shingles and are not searched; items may repeat, and each is reported. NULL,
     empty and short texts contain nothing. Without items the lists are empty.
 
-    Documents never move. Items come to them in blocks of bounded size, one pass over the documents
-    for each block, so neither the driver nor a broadcast ever holds more than a block.
+    Texts are told apart by MD5, so copies are looked at once. Only texts that share a minimum with an
+    item are shuffled, at most once each; ``block_bytes`` bounds the items that one of them meets at a
+    time. Neither the driver nor a broadcast holds items: what goes to all workers is a filter over
+    their minima of ``FILTER_BITS`` at the most, beyond which it lets more through. The result joins
+    the documents on the MD5 of those that contain something, with copies dealt into ``SALTS`` parts.
     """
     spark = docs.sparkSession
     small_batches(spark, BATCH_BYTES)
-    row = F.struct(*docs.drop("items").columns)
-    out, found = docs.select(row.alias("__row"), F.col(text).alias("__text")), []
-    for n, block in enumerate(item_blocks(items, item_id, item_text, block_bytes)):
-        search = _search(spark.sparkContext.broadcast(ItemIndex(block)), containment)
-        found.append(f"__items_{n}")
-        out = out.withColumn(found[-1], search("__text"))
-    return out.select("__row.*", F.concat(*found).alias("items"))
+    rest = docs.drop("items")
+    name = F.md5(F.col(text)).alias("doc")
+    wanted = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
+    found = contained(rest.select(name, F.col(text).alias("text")).dropna(), wanted, containment, block_bytes)
+    # Copies, and rows without text, are dealt into parts by what else they hold.
+    plain = [c for c in rest.columns if not any(k in rest.schema[c].dataType.simpleString() for k in ("map<", "variant"))]
+    own = F.xxhash64(*plain)
+    rows = rest.select(
+        F.struct(*rest.columns).alias("__row"),
+        F.coalesce(F.md5(F.col(text)), F.concat(F.lit("none "), own)).alias("__doc"),
+        F.pmod(own, F.lit(SALTS)).cast("int").alias("__salt"),
+    )
+    found = found.select(
+        F.col("doc").alias("__doc"), F.col("items").alias("__items"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
+    )
+    nothing = F.array().cast("array<struct<item:bigint,containment:double>>")
+    return rows.join(found, ["__doc", "__salt"], "left").select("__row.*", F.coalesce("__items", nothing).alias("items"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
