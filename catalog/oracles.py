@@ -625,6 +625,9 @@ select doc_id, cast(length(t) as integer) as n, md5(t) as digest from t""",
 from events""",
     "annotate_prompts": KEYWORD_ANSWERS,
     "annotations_csv": KEYWORD_ANSWERS,
+    "profile_json_folder": """select min(event_id) as first_id, arg_min(event_type, event_id) as first_type,
+  count(*) as num_items, 'event_id, event_type, user_id' as keys
+from events group by event_id // 2000""",
     "profile_json": """select event_type, count(*) as num_items,
   array_to_string(json_keys(arg_min(props, event_id)), ', ') as keys, arg_min(props, event_id) as first_item
 from events group by 1""",

@@ -804,6 +804,24 @@ def profile_json(spark, sf):
     return readers.profile_json_items(events, "event_type", "event_id", "props")
 
 
+@query
+def profile_json_folder(spark, sf):
+    """Through written files, each a list of the events of one range of 2,000 ids."""
+    events = views.table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    record = F.to_json(F.struct("event_id", "event_type", "user_id"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("event_id", record.alias("record")))), lambda r: r["record"])
+    lists = events.groupBy(F.floor(F.col("event_id") / 2000).alias("part")).agg(listed.alias("records"))
+    path = shared_path(spark, "event-lists")
+    text = F.concat(F.lit("["), F.array_join("records", ",\n"), F.lit("]")).alias("value")
+    lists.select(text).write.option("maxRecordsPerFile", 1).text(path)
+    return readers.profile_json(spark, path).select(
+        F.get_json_object("first_item", "$.event_id").cast("long").alias("first_id"),
+        F.get_json_object("first_item", "$.event_type").alias("first_type"),
+        "num_items",
+        "keys",
+    )
+
+
 @query
 def json_records(spark, sf):
     rows = views.headers(spark, sf).select("id", "topic", "timestamp")
