@@ -15,14 +15,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parley.functions.filters import build_filters
-from parley.functions.stem import stem
+from parley.functions.stem import stem_texts
 from parley.functions.text import snippet
-from parley.functions.tokens import tokens
-from parley.operators.search import SCORE_DIGITS, SNIPPET, _idf, _saturation, _wanted
+from parley.operators.search import (
+    SCORE_DIGITS, SNIPPET, _idf, _saturation, _wanted, word_stats, words_by_id, written_words,
+)
 
 BLOCKS = 1024  # in a class of lengths
 SEEDS = 32  # blocks scored first
@@ -30,9 +31,8 @@ CLASSES = 4  # for each doubling of the length
 SLACK = 10.0 ** (1 - SCORE_DIGITS)  # scores are rounded
 
 TABLES = {
-    "postings": "root string, block long, id string, length int, tf long, class int",
-    "maxima": "root string, class int, block long, top double",
-    "roots": "root string, doc_freq long",
+    "words": "doc long, id string, length int, copies long",
+    "postings": "root string, block long, doc long, length int, tf long, top double, class int",
     "docs": "id string, snippet string",
     "stats": "n_docs long, mean_length double",
 }
@@ -61,39 +61,39 @@ def write_blocks(
 ) -> BlockIndex:
     """Write (or replace) the index of ``search_text`` by ``id`` and read it back.
 
-    Roots are counted per document before anything moves. Postings are cut by class, root and block,
-    so a frequent root is many files; all else is computed from the written postings."""
+    Roots are counted within their document. Postings move once, by class, root and block, so a
+    frequent root is many files; the largest saturation of a block is found where its postings lie and
+    written beside them."""
     spark = fact.sparkSession
-    docs = fact.select("id", tokens(F.col("search_text"), stop_words).alias("tokens")).withColumn("length", F.size("tokens"))
-    # Stems are looked up by distinct word and document, not by occurrence.
-    words = docs.select("id", "length", F.explode("tokens").alias("term")).groupBy("id", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
-    root = stem(F.col("term")) if stems else F.col("term")
-    words = words.withColumn("root", root)
-    if stems:
-        words = words.groupBy("id", "length", "root").agg(F.sum("tf").alias("tf"))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)) + _class(F.col("length")).cast("long") * blocks
-    rows = words.select(_class(F.col("length")).alias("class"), "root", block.alias("block"), "id", "length", "tf")
-    keys = ["class", "root", "block", "id"]
-    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("class").parquet(f"{path}/postings")
-
-    postings = spark.read.schema(TABLES["postings"]).parquet(f"{path}/postings")
-    lengths = postings.groupBy("id").agg(F.first("length").alias("length"))
-    stats = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("length").alias("mean_length"))
-    stats.write.mode("overwrite").parquet(f"{path}/stats")
+    words = written_words(words_by_id(fact, stop_words, stem_texts if stems else None), path)
+    word_stats(words).write.mode("overwrite").parquet(f"{path}/stats")
     stats = spark.read.schema(TABLES["stats"]).parquet(f"{path}/stats")
-    top = F.max(_saturation(F.col("tf"), F.col("length"), F.col("mean_length")))
-    maxima = postings.crossJoin(F.broadcast(stats)).groupBy("root", "class", "block").agg(top.alias("top"))  # one row
-    maxima.repartitionByRange("root", "block").sortWithinPartitions("root", "block").write.mode("overwrite").parquet(f"{path}/maxima")
-    roots = postings.groupBy("root").agg(F.count(F.lit(1)).alias("doc_freq"))
-    roots.repartitionByRange("root").sortWithinPartitions("root").write.mode("overwrite").parquet(f"{path}/roots")
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)) + _class(F.col("length")).cast("long") * blocks
+    rows = words.select("doc", "length", block.alias("block"), F.inline("counts")).withColumnRenamed("term", "root")
+    rows = rows.select(_class(F.col("length")).alias("class"), "root", "block", "doc", "length", "tf")
+    keys = ["class", "root", "block"]
+    # The window needs no second exchange, and the order it asks for is that of the files.
+    placed = rows.repartitionByRange(*keys).crossJoin(F.broadcast(stats))  # one row
+    top = F.max(_saturation(F.col("tf"), F.col("length"), F.col("mean_length"))).over(Window.partitionBy(*keys))
+    placed = placed.select("root", "block", "doc", "length", "tf", top.alias("top"), "class").sortWithinPartitions(*keys, "doc")
+    placed.write.mode("overwrite").partitionBy("class").parquet(f"{path}/postings")
     previews = fact.select("id", snippet(F.col("search_text"), SNIPPET).alias("snippet"))
     previews.write.mode("overwrite").parquet(f"{path}/docs")
     return read_blocks(spark, path, stems)
 
 
 def read_blocks(spark: SparkSession, path: str, stems: bool = False) -> BlockIndex:
-    """An index written with the same ``stems``."""
-    return BlockIndex(**{t: spark.read.schema(s).parquet(f"{path}/{t}") for t, s in TABLES.items()}, stems=stems)
+    """An index written with the same ``stems``. Filters on class, root and block reach the files."""
+    tables = {t: spark.read.schema(s).parquet(f"{path}/{t}") for t, s in TABLES.items()}
+    postings = tables["postings"]
+    return BlockIndex(
+        postings=postings.drop("top").join(tables["words"].select("doc", "id"), "doc").drop("doc"),
+        maxima=postings.groupBy("root", "class", "block").agg(F.first("top").alias("top")),
+        roots=postings.groupBy("root").agg(F.count(F.lit(1)).alias("doc_freq")),
+        docs=tables["docs"],
+        stats=tables["stats"],
+        stems=stems,
+    )
 
 
 def _weights(index: BlockIndex, wanted: list[str]) -> DataFrame:
