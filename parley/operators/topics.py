@@ -331,9 +331,11 @@ def _pairs(words: str) -> Column:
 def merge_small_topics(
     docs: DataFrame, topic: str = "topic_id", min_size: int = 100, outlier: int = OUTLIER_TOPIC
 ) -> DataFrame:
-    """Topics with fewer than ``min_size`` documents become the outlier topic."""
+    """Topics with fewer than ``min_size`` documents become the outlier topic.
+
+    The large topics go to the documents: texts dealt out by topic would be as few tasks as topics."""
     sizes = docs.groupBy(topic).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") >= min_size).select(topic)
+    large = F.broadcast(sizes.filter(F.col("_n") >= min_size).select(topic))  # one row per topic
     return (
         member_of(docs, topic, large)
         .withColumn(topic, F.when(F.col("_member"), F.col(topic)).otherwise(F.lit(outlier)))
@@ -364,26 +366,24 @@ def topic_terms(
         .groupBy("topic_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    # One row per topic and term here, so a term has at most as many rows as there are topics.
-    totals = counts.groupBy("term").agg(F.sum("tf").alias("f"), F.count(F.lit(1)).alias("topics"))
-    kept = counts
+    # One row per topic and term here, so a term has at most as many rows as there are topics. These
+    # rows move once more, by term, and stay there.
+    same_term = Window.partitionBy("term")
+    kept = counts.select("topic_id", "term", "tf", F.sum("tf").over(same_term).alias("f"), F.count(F.lit(1)).over(same_term).alias("topics"))
+    sized = counts
     if min_topics > 1:
-        totals = totals.filter(F.col("topics") >= min_topics)
-        kept = counts.join(totals.select("term"), "term", "left_semi")
-    sizes = kept.groupBy("topic_id").agg(F.sum("tf").alias("size"))
-    mean_size = sizes.agg(F.floor(F.avg("size")).alias("a"))
-    # The size is the same for all terms of a topic, so ranking needs only the rest of the weight;
-    # sizes are joined to the few rows that remain.
+        sized = kept = kept.filter(F.col("topics") >= min_topics)
+    sizes = sized.groupBy("topic_id").agg(F.sum("tf").alias("size"))
+    # Mean and sizes in one table, as it is needed whole whatever columns a caller wants.
+    sizes = sizes.withColumn("a", F.floor(F.avg("size").over(Window.partitionBy())))
     position = Window.partitionBy("topic_id").orderBy(F.desc("_score"), "term")
-    best = (
-        counts.join(totals.select("term", "f"), "term")
-        .crossJoin(F.broadcast(mean_size))  # one row
-        .select("topic_id", "term", (F.col("tf") * F.log(1 + F.col("a") / F.col("f"))).alias("_score"))
+    # The size is the same for all terms of a topic, so ranking needs only the rest of the weight.
+    return (
+        kept.join(F.broadcast(sizes), "topic_id")  # one row per topic
+        .select("topic_id", "term", "size", (F.col("tf") * F.log(1 + F.col("a") / F.col("f"))).alias("_score"))
         .withColumn("position", F.row_number().over(position))
         .filter(F.col("position") <= top)
-    )
-    return best.join(sizes, "topic_id").select(
-        "topic_id", "term", (F.col("_score") / F.col("size")).alias("weight"), "position"
+        .select("topic_id", "term", (F.col("_score") / F.col("size")).alias("weight"), "position")
     )
 
 

@@ -136,3 +136,17 @@ def test_sample_is_exact_and_stable(spark):
     one, two = topics.sample_fixed(df, 40), topics.sample_fixed(df.repartition(7), 40)
     assert {r.id for r in one.collect()} == {r.id for r in two.collect()} and one.count() == 40
     assert {r.id for r in topics.sample_fixed(df, 40, seed=1).collect()} != {r.id for r in one.collect()}
+
+
+def test_topic_terms_read_texts_once_and_where_they_lie(spark):
+    """Texts do not move by topic, and both the weights and the names read them once."""
+    rows = [(i % 3, f"common words w{i % 3} and{i}") for i in range(30)]
+    merged = topics.merge_small_topics(spark.createDataFrame(rows, "topic_id int, search_text string"), min_size=2)
+    plan = merged.select("topic_id", "search_text")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    for min_topics in (1, 2):
+        terms = topics.topic_terms(merged, min_topics=min_topics)
+        for df in (terms, topics.topic_names(terms)):
+            assert {r.topic_id for r in df.collect()} == {0, 1, 2}
+            plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            assert plan.count("Generate ") == 1
