@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.arrow import small_batches, thrifty
+from parley.llm.key_filter import in_filter, key_filter
 from parley.llm.store import stored
 from parley.llm.words import mix, word_chunks
 
@@ -28,7 +29,6 @@ CONTAINMENT = 0.8
 PERMUTATIONS = 32  # at containment 0.8 a window shares at least 0.19 with an item: 0.1 % missed
 BLOCK_BYTES = 4 << 20
 BATCH_BYTES = 4 << 20
-FILTER_BITS = 1 << 27  # at the most: 16 MB on the driver and on each worker
 BITS_PER_KEY = 256
 SALTS = 8
 SEEN = 10_000  # texts that a task remembers having sent
@@ -71,33 +71,6 @@ def _item_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _positions(key, bits: int) -> list:
-    """The two places of a key in a filter of ``bits`` bits."""
-    return [key.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(key, 32).bitwiseAND(F.lit(bits - 1))]
-
-
-def _key_filter(keys: DataFrame) -> np.ndarray:
-    """A Bloom filter over the column ``key``, gathered as words of 64 bits."""
-    n = keys.count()
-    bits = min(FILTER_BITS, max(1 << 16, 1 << (BITS_PER_KEY * n).bit_length()))
-    at = F.explode(F.array(*_positions(F.col("key"), bits))).alias("at")
-    words = keys.select(at).groupBy(F.shiftright("at", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
-    )
-    found = words.toArrow()
-    out = np.zeros(bits >> 6, dtype=np.int64)
-    out[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return out.view(np.uint64)
-
-
-def _in_filter(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
-    last = np.uint64(len(words) * 64 - 1)
-    hit = np.ones(len(keys), dtype=bool)
-    for at in (keys & last, (keys >> np.uint64(32)) & last):
-        hit &= (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-    return hit
-
-
 def _hits(chunk, classes: list[int], words: np.ndarray) -> dict[int, list[np.ndarray]]:
     """For rows of the chunk the keys of their windows that the filter holds."""
     grams, whole = chunk.grams(SHINGLE)
@@ -119,7 +92,7 @@ def _hits(chunk, classes: list[int], words: np.ndarray) -> dict[int, list[np.nda
             minima = np.minimum.reduceat(ordered, starts)
             minima[:-1] = np.where(joined, np.minimum(minima[:-1], minima[1:]), minima[:-1])
             keys = _keys(minima, c, j)
-            at = np.flatnonzero(_in_filter(keys, words))
+            at = np.flatnonzero(in_filter(keys, words))
             for r, k in zip(row[at].tolist(), at.tolist(), strict=True):
                 found.setdefault(r, []).append(keys[k])
     return found
@@ -205,7 +178,7 @@ def contained(docs: DataFrame, items: DataFrame, containment: float, block_bytes
     minima = stored(texts.mapInArrow(_item_keys, "item string, class int, keys array<bigint>"), "item-minima")
     classes = sorted(r[0] for r in minima.select("class").distinct().collect())  # exponents of sizes: some dozens at the most
     keys = minima.select("item", F.explode("keys").alias("key"))
-    shared = spark.sparkContext.broadcast(_key_filter(keys.select("key")))
+    shared = spark.sparkContext.broadcast(key_filter(keys.select("key"), BITS_PER_KEY))
     touched = docs.mapInArrow(_touched(shared, classes), "doc string, text binary, keys array<bigint>")
     touched = stored(touched.groupBy("doc").agg(F.first("text").alias("text"), F.first("keys").alias("keys")), "touched")
     pairs = _salted(touched.select("doc", F.explode("keys").alias("key")), keys, "key", "doc").select("doc", "item").distinct()
