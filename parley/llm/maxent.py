@@ -103,9 +103,26 @@ class Lexicon:
         """Places in the lexicon, or -1."""
         if not len(self.hashes):
             return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
+        last = len(self.hashes) - 1
+        at = self._firsts[(tokens >> self._shift).view(np.int64)].astype(np.int64)
+        # Hashes are spread evenly, so most are found at once or a few places on.
+        behind = np.flatnonzero(self.hashes[at] < tokens)
+        while len(behind):
+            behind = behind[at[behind] < last]
+            at[behind] += 1
+            behind = behind[self.hashes[at[behind]] < tokens[behind]]
         return np.where(self.hashes[at] == tokens, at, -1)
 
+    @cached_property
+    def _shift(self) -> np.uint64:
+        return np.uint64(63 - (2 * len(self.hashes)).bit_length())
+
+    @cached_property
+    def _firsts(self) -> np.ndarray:
+        """For each value of the first bits the first place with that or more, or the last place."""
+        edges = np.arange(1 << (64 - int(self._shift)), dtype=np.uint64) << self._shift
+        return np.minimum(np.searchsorted(self.hashes, edges), len(self.hashes) - 1).astype(np.int32)
+
     @property
     def base_scale(self) -> float:
         return np.log10(self.total + SMOOTHING * (self.distinct + 1))
@@ -256,19 +273,27 @@ def events(tokens: np.ndarray, bounds: np.ndarray, places: np.ndarray, lexicon:
 def _softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits *= np.reciprocal(logits @ np.ones(logits.shape[1], np.float32))[:, None]
     return logits
 
 
+def _summed(weights: np.ndarray, features: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
+    """The rows of weights that the features name, added up."""
+    out = weights[0].take(features[0], axis=0)
+    for w, f in zip(weights[1:], features[1:], strict=True):
+        out += w.take(f, axis=0)
+    out += bias
+    return out
+
+
 def _forward(model: Model, e: Events):
     """Class probabilities for all events; places, classes, rows and slot probabilities of those
     in the short list."""
-    logits = model.bias + sum(w[f] for w, f in zip(model.outer, e.features, strict=True))
-    outer = _softmax(logits)
+    outer = _softmax(_summed(model.outer, e.features, model.bias))
     short = np.flatnonzero(e.rank >= 0)
     group = e.rank[short] // SLOTS
     rows = [f[short] * CLASSES + group for f in e.inner]
-    inner = _softmax(model.inner_bias[group] + sum(w[r] for w, r in zip(model.inner, rows, strict=True)))
+    inner = _softmax(_summed(model.inner, rows, model.inner_bias.take(group, axis=0)))
     return outer, short, group, rows, inner
 
 
@@ -279,14 +304,14 @@ def _descend(model: Model, e: Events):
     node, side = e.tree.path(e.leaf[rare])
     shift = np.uint64(65 - model.branches.shape[1].bit_length())
     salt = node.astype(np.uint64) * END
-    odds, buckets = e.tree.bias[node], []
+    odds, buckets = e.tree.bias.take(node), []
     for w, c in zip(model.branches, e.contexts, strict=True):
-        h = c[rare] + salt
+        h = c.take(rare) + salt
         h ^= h >> np.uint64(32)
         h *= _START
         h >>= shift
         buckets.append(h.view(np.int64))
-        odds += w[buckets[-1]]
+        odds += w.take(buckets[-1])
     odds *= -side
     np.exp(np.minimum(odds, 80, out=odds), out=odds)
     odds += 1
@@ -312,6 +337,24 @@ def log_probability(model: Model, e: Events) -> np.ndarray:
     return out
 
 
+def _added_rows(rows: np.ndarray, gradient: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows (below ``size``), ascending, and the sum of each one's gradients."""
+    # Numbers of 16 bits are sorted by radix.
+    order = np.argsort(rows.astype(np.uint16) if size <= 1 << 16 else rows, kind="stable")
+    at = rows[order]
+    heads = np.flatnonzero(np.diff(at, prepend=-1))
+    nth = np.arange(len(at)) - np.repeat(heads, np.diff(heads, append=len(at)))
+    sums = gradient.take(order, axis=0)
+    # Neighbours of a row are added, then sums of two, of four: few rows stand more often.
+    left, step = np.flatnonzero(nth), 1
+    while len(left):
+        bits = nth[left] & (2 * step - 1)
+        add = left[bits == step]
+        sums[add - step] += sums.take(add, axis=0)
+        left, step = left[bits == 0], 2 * step
+    return at[heads], sums.take(heads, axis=0)
+
+
 class Trainer:
     """Gradient steps with a rate that falls for each weight by its squared gradients so far."""
 
@@ -321,12 +364,15 @@ class Trainer:
         self.tokens = 0
 
     def _update(self, weight: np.ndarray, seen: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-        order = np.argsort(rows, kind="stable")
-        heads = np.flatnonzero(np.diff(rows[order], prepend=-1))
-        g = np.add.reduceat(gradient[order], heads, axis=0)
-        at = rows[order][heads]
-        seen[at] += g * g
-        weight[at] -= RATE * g / np.sqrt(seen[at])
+        at, g = _added_rows(rows, gradient, len(weight))
+        squares = g * g
+        squares += seen.take(at, axis=0)
+        seen[at] = squares
+        np.sqrt(squares, out=squares)
+        g /= squares
+        g *= np.float32(-RATE)
+        g += weight.take(at, axis=0)
+        weight[at] = g
 
     def learn(self, e: Events) -> None:
         for a in range(0, len(e.rank), STEP):
@@ -341,7 +387,7 @@ class Trainer:
         outer[np.arange(len(cls)), cls] -= 1
         for k in range(KINDS):
             self._update(m.outer[k], s[0][k], e.features[k], outer)
-        self._update(m.bias[None], s[2][None], np.zeros(len(cls), np.int64), outer)
+        self._update(m.bias[None], s[2][None], np.zeros(1, np.int64), outer.sum(axis=0, keepdims=True))
         if len(short):
             inner[np.arange(len(short)), e.rank[short] % SLOTS] -= 1
             for k in range(INNER_KINDS):
@@ -355,7 +401,7 @@ class Trainer:
             for k in range(TREE_KINDS):
                 at = buckets[k].ravel()
                 np.add.at(s[4][k], at, squares)
-                np.subtract.at(m.branches[k], at, TREE_RATE * gradient / np.sqrt(s[4][k][at]))
+                np.subtract.at(m.branches[k], at, TREE_RATE * gradient / np.sqrt(s[4][k].take(at)))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
