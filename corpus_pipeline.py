@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, ordered_minhash, quality, suffixes
+from parley.llm import decontaminate, ordered_minhash, passages, quality, suffixes
 from parley.llm.registry import packed
 from parley.llm.store import stored
 
@@ -29,13 +29,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 400 bytes that occur twice or more go, at all their places. What a cut leaves of
-    a character goes too. Documents of which nothing is left go."""
+    a character goes too. Of what is left, passages of over 50 words that stand in several documents
+    go, whatever their bytes. Documents of which nothing is left go."""
     rows = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
     found = suffixes.remove_repeats(rows)
     text = F.when(F.size("repeats.spans") == 0, F.col("text")).otherwise(suffixes.whole_characters(F.col("repeats.kept")))
     found = found.withColumn("text", F.when(F.col("text").isNotNull(), text))
     found = found.filter((F.length("text") > 0) | (F.col("repeats.n_removed") == 0))
-    return _sized(found.select(*[F.col("text" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns]))
+    found = found.select(*[F.col("text" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns])
+    return _sized(passages.cut_passages(found))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
